@@ -61,21 +61,21 @@ CTE = {
     "valid": """
         select * from shop_orders
         where status in ('Complete', 'Shipped', 'Processing', 'Returned')""",
-    "cut": "select max(created_at) - interval 180 days as at from valid",
+    "cut": "select max(created_at) - interval 180 days as cut_at from valid",
     "event_cut": f"""
-        select max(created_at) - interval {EVENT_WINDOW_DAYS} days as at from shop_events""",
-    "label": """
+        select max(created_at) - interval {EVENT_WINDOW_DAYS} days as cut_at from shop_events""",
+    "churn_labels": """
         select b.user_id, cast(case when a.user_id is null then 1 else 0 end as int) as churned
-        from (select distinct user_id from valid, cut where created_at <= at) b
-        left join (select distinct user_id from valid, cut where created_at > at) a
+        from (select distinct user_id from valid, cut where created_at <= cut_at) b
+        left join (select distinct user_id from valid, cut where created_at > cut_at) a
         on a.user_id = b.user_id""",
     "order_feat": """
         select user_id, count(order_id) as order_count,
-               cast(date_diff('day', max(created_at), any_value(at)) as int) as recency_days,
-               cast(date_diff('day', min(created_at), any_value(at)) as int) as tenure_days,
-               count(*) filter (where created_at >= cast(at as date) - 365) as orders_last_365d,
+               cast(date_diff('day', max(created_at), any_value(cut_at)) as int) as recency_days,
+               cast(date_diff('day', min(created_at), any_value(cut_at)) as int) as tenure_days,
+               count(*) filter (where created_at >= cast(cut_at as date) - 365) as orders_last_365d,
                avg(num_of_item) as avg_items_per_order
-        from valid, cut where created_at <= at group by user_id""",
+        from valid, cut where created_at <= cut_at group by user_id""",
     "spend_feat": """
         select user_id,
                cast(round(sum(cast(sale_price as decimal(18,6))), 2) as double) as total_spent,
@@ -84,14 +84,14 @@ CTE = {
                count(i.id) as items_bought, count(distinct p_type) as distinct_categories,
                avg(case when status = 'Returned' then 1 else 0 end) as return_rate
         from order_items i cross join cut left join part on product_id = p_partkey
-        where created_at <= at and status <> 'Cancelled' group by user_id""",
+        where created_at <= cut_at and status <> 'Cancelled' group by user_id""",
     "event_feat": """
         select user_id, count(distinct session_id) as session_count,
                cast(count(id) as double) / count(distinct session_id) as avg_events_per_session,
-               cast(date_diff('day', max(created_at), any_value(at)) as int)
+               cast(date_diff('day', max(created_at), any_value(cut_at)) as int)
                    as days_since_last_visit,
                count(*) filter (where event_type = 'purchase') as cart_events
-        from shop_events, event_cut where created_at <= at group by user_id""",
+        from shop_events, event_cut where created_at <= cut_at group by user_id""",
     "dataset": f"""
         select * from (
             select l.user_id, l.churned, age, gender, state, traffic_source, order_count,
@@ -103,7 +103,7 @@ CTE = {
                    coalesce(session_count, 0) as session_count,
                    coalesce(avg_events_per_session, 0) as avg_events_per_session,
                    days_since_last_visit, coalesce(cart_events, 0) as cart_events
-            from label l join home on home.id = l.user_id
+            from churn_labels l join home on home.id = l.user_id
             left join order_feat o on o.user_id = l.user_id
             left join spend_feat s on s.user_id = l.user_id
             left join event_feat e on e.user_id = l.user_id)""",
@@ -138,7 +138,7 @@ CTE = {
                churned, (l.user_id * 7919 % 1000) / cast(1000 as double) as churn_probability,
                case l.user_id % 5 when 0 then 'test' when 1 then 'validation' else 'train' end
                    as split
-        from label l join home on home.id = l.user_id""",
+        from churn_labels l join home on home.id = l.user_id""",
     "scored_documents": """
         select doc_id, quality as label,
                ((n_chars * 31 + doc_id) % 997) / cast(997 as double) as probability,
@@ -172,15 +172,15 @@ CTE = {
                cast(year(d) as int) as year, cast(month(d) as int) as month,
                monthname(d) as month_name
         from (select cast(month as date) as d from stats where month is not null
-              union select cast(at as date) from cut)""",
+              union select cast(cut_at as date) from cut)""",
     "dim_customer": """
         select row_number() over (order by l.user_id) as user_sk, l.user_id, age,
                case when age is null then 'unknown' when age < 25 then 'under 25'
                     when age < 35 then '25-34' when age < 50 then '35-49' else '50 plus' end
                    as age_group, gender, traffic_source
-        from label l join home on home.id = l.user_id""",
+        from churn_labels l join home on home.id = l.user_id""",
     "churn_keys": """
-        select user_sk, state_sk, cast(strftime(at, '%Y%m%d') as int) as date_sk,
+        select user_sk, state_sk, cast(strftime(cut_at, '%Y%m%d') as int) as date_sk,
                churn_probability, churned, split
         from scores cross join cut left join dim_customer using (user_id)
         left join dim_state on state = state_name""",
@@ -255,21 +255,21 @@ _BODIES = {
     "churn_by_state": """
         select state, count(*) as customers, count(*) filter (where churned = 1) as churned,
                avg(churned) as churn_rate
-        from label join users on users.id = user_id group by state""",
-    "cutoff_date": f"select strftime(at, {_MICROS}) as cutoff from cut",
+        from churn_labels join users on users.id = user_id group by state""",
+    "cutoff_date": f"select strftime(cut_at, {_MICROS}) as cutoff from cut",
     "valid_orders": f"""
         select order_id, user_id, status, strftime(created_at, {_MICROS}) as created_at,
                num_of_item from valid""",
-    "churn_label": "select * from label",
+    "churn_label": "select * from churn_labels",
     "window_sweep": """
-        select cast(d as int) as window_days, count(*) filter (where last <= at) as churned,
-               count(*) filter (where last > at) as retained,
-               cast(count(*) filter (where last <= at) as double) / count(*) as churn_rate
-        from (select d, max(created_at) - to_days(cast(d as int)) as at
+        select cast(d as int) as window_days, count(*) filter (where last <= cut_at) as churned,
+               count(*) filter (where last > cut_at) as retained,
+               cast(count(*) filter (where last <= cut_at) as double) / count(*) as churn_rate
+        from (select d, max(created_at) - to_days(cast(d as int)) as cut_at
               from valid, (values (90), (180), (365)) t(d) group by d),
              (select user_id, min(created_at) as first, max(created_at) as last
               from valid group by user_id)
-        where first <= at group by d""",
+        where first <= cut_at group by d""",
     "order_gaps": f"""
         select user_id, strftime(created_at, {_MICROS}) as created_at,
                strftime(prev_order_at, {_MICROS}) as prev_order_at, gap_days from gaps""",
@@ -293,7 +293,7 @@ _BODIES = {
     "churn_dataset": f"select {', '.join(DATASET_COLUMNS)} from dataset",
     "dataset_summary": """
         select count(*) as customers, count(*) filter (where churned = 1) as churned,
-               avg(churned) as churn_rate from label join home on home.id = user_id""",
+               avg(churned) as churn_rate from churn_labels join home on home.id = user_id""",
     "table_rows": " union all ".join(
         f"select '{n}' as table_name, count(*) as rows from {n}"
         for n in ("customer", "orders", "lineitem", "part", "events", "documents")),
@@ -345,7 +345,7 @@ _BODIES = {
     "complaint_totals_by_state_top15": """
         select state, count(*) as complaints from order_complaints group by state
         order by complaints desc, state limit 15""",
-    "churn_split": _split("label", "user_id", "churned", {"train": 600, "validation": 800}, "test"),
+    "churn_split": _split("churn_labels", "user_id", "churned", {"train": 600, "validation": 800}, "test"),
     "topic_split": _split("(select doc_id, lang as product from documents)", "doc_id", "product",
                           {"train": 800}, "test"),
     "class_weights": """
@@ -435,7 +435,10 @@ _COMPLAINTS = """
     from fact_comp join dim_state using (state_sk) group by state_code, state_name"""
 _BODIES |= {
     "churn_per_state": _PER_STATE,
-    "churn_per_state_top10": _PER_STATE + " order by customers desc, state_code limit 10",
+    "churn_per_state_top10": f"""
+        select state_code, state_name, customers, avg_probability, churn_rate
+        from (select *, row_number() over (order by customers desc, state_code) as r
+              from ({_PER_STATE})) where r <= 10""",
     "complaints_per_state": _COMPLAINTS,
     "complaints_per_state_top10": _COMPLAINTS + " order by complaints desc, state_code limit 10",
 }
