@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import standins as s
 from tallyshore.functions.columns import age_group, date_key
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
-from tallyshore.plans import marts
+from tallyshore.plans import churn_model, marts, topic_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -358,3 +358,59 @@ _report("churn_per_state", marts.churn_by_state, "avg_probability")
 _report("churn_per_state_top10", lambda spark: marts.churn_by_state(spark, 10), "avg_probability")
 _report("complaints_per_state", marts.complaints_by_state)
 _report("complaints_per_state_top10", lambda spark: marts.complaints_by_state(spark, 10))
+
+
+# --- models -----------------------------------------------------------------
+
+def topic_texts(spark, d):
+    """Cleaned texts in the shape of the complaint sample; the product is the language."""
+    return cleaned(spark, d).select("complaint_id", "product", "state", "narrative")
+
+
+@query
+def text_vocabulary(spark, d):
+    docs = s.table(spark, d, "documents").select("doc_id", F.col("text").alias("narrative"))
+    terms = topic_model.term_stages(stop_words=s.STOP_WORDS).transform(docs)
+    found = topic_model.with_idf(topic_model.vocabulary(terms), docs.count())
+    return rounded(found, "idf")
+
+
+@query
+def imputation_medians(spark, d):
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    medians = churn_model.exact_medians(s.table(spark, d, "lineitem"), columns)
+    return spark.createDataFrame(list(medians.items()), "column_name string, median double")
+
+
+@query
+def churn_model_validation(spark, d):
+    """All four models on the validation part."""
+    return churn_model.train_churn(dataset(spark, d)).validation
+
+
+@query
+def churn_scores(spark, d):
+    """Every customer's score by a forest, with the split."""
+    run = churn_model.train_churn(dataset(spark, d), trees=50, max_depth=6, rounds=10)
+    return churn_model.score_customers(run.models["random_forest"], run.data)
+
+
+@query
+def churn_feature_importances(spark, d):
+    run = churn_model.train_churn(dataset(spark, d), trees=50, max_depth=6, rounds=10)
+    return churn_model.feature_importances(run.models["random_forest"], run.names)
+
+
+@query
+def churn_test_report(spark, d):
+    return churn_model.train_churn(dataset(spark, d), trees=50, max_depth=6, rounds=10).report()
+
+
+@query
+def topic_report(spark, d):
+    return topic_model.train_topics(topic_texts(spark, d)).report()
+
+
+@query
+def topic_terms(spark, d):
+    return topic_model.top_terms(topic_model.train_topics(topic_texts(spark, d)).model)

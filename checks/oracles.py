@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 
-from checks.standins import EVENT_WINDOW_DAYS, HOME, STATE_CODES
+from checks.standins import EVENT_WINDOW_DAYS, HOME, STATE_CODES, STOP_WORDS
 from tallyshore.schemas import DATASET_COLUMNS, US_STATES
 
 _CODES = ", ".join(f"'{c}'" for c in STATE_CODES)
@@ -426,6 +426,30 @@ _BODIES = {
         select cast(sum(complaint_count) as bigint) as complaints from fact_comp""",
 }
 
+_BODIES["imputation_medians"] = " union all ".join(
+    f"select '{c}' as column_name, median({c}) as median from lineitem"
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+
+
+def _vocabulary(stop_words) -> str:
+    stops = ", ".join(f"'{w}'" for w in stop_words)
+    return rf"""
+        with words as (
+            select doc_id, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}'),
+                                       lambda w: w not in ({stops})) as w from documents),
+        cells as (
+            select doc_id, unnest(w) as term from words
+            union all select doc_id, unnest(list_transform(range(1, len(w)),
+                                            lambda i: w[i] || ' ' || w[i + 1])) from words)
+        select term, count(*) as total, count(distinct doc_id) as docs,
+               round(ln((1 + (select count(*) from documents)) / (1.0 + count(distinct doc_id)))
+                     + 1, 6) as idf
+        from cells group by term having count(distinct doc_id) >= 5
+        order by total desc, term limit 100000"""
+
+
+_BODIES["text_vocabulary"] = _vocabulary(STOP_WORDS)
+
 _PER_STATE = """
     select state_code, state_name, count(*) as customers,
            round(avg(churn_probability), 6) as avg_probability, avg(churned) as churn_rate

@@ -15,6 +15,8 @@ from tallyshore.schemas import US_STATES
 HOME = "AMERICA"
 STATE_CODES = [*US_STATES, "PR", "ZZ"]  # the last two are not states
 EVENT_WINDOW_DAYS = 7
+STOP_WORDS = ("and", "the", "for", "with", "that", "this", "from", "not", "que", "und", "die",
+              "der", "des", "les", "las", "los", "est", "une", "par", "dans")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
