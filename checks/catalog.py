@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -382,35 +383,52 @@ def imputation_medians(spark, d):
     return spark.createDataFrame(list(medians.items()), "column_name string, median double")
 
 
+@lru_cache(maxsize=1)
+def churn_run(spark, d):
+    """One training run, shared by the queries that look at it."""
+    return churn_model.train_churn(dataset(spark, d))
+
+
+@lru_cache(maxsize=1)
+def topic_run(spark, d):
+    return topic_model.train_topics(topic_texts(spark, d))
+
+
 @query
 def churn_model_validation(spark, d):
     """All four models on the validation part."""
-    return churn_model.train_churn(dataset(spark, d)).validation
+    return churn_run(spark, d).validation
 
 
 @query
 def churn_scores(spark, d):
-    """Every customer's score by a forest, with the split."""
-    run = churn_model.train_churn(dataset(spark, d), trees=50, max_depth=6, rounds=10)
-    return churn_model.score_customers(run.models["random_forest"], run.data)
+    """Every customer's score by the chosen model, with the split."""
+    run = churn_run(spark, d)
+    return churn_model.score_customers(run.models[run.best], run.data)
 
 
 @query
 def churn_feature_importances(spark, d):
-    run = churn_model.train_churn(dataset(spark, d), trees=50, max_depth=6, rounds=10)
+    run = churn_run(spark, d)
     return churn_model.feature_importances(run.models["random_forest"], run.names)
 
 
 @query
-def churn_test_report(spark, d):
-    return churn_model.train_churn(dataset(spark, d), trees=50, max_depth=6, rounds=10).report()
+def churn_test_metrics(spark, d):
+    """The chosen model on the test part."""
+    return churn_run(spark, d).test
+
+
+@query
+def churn_reports(spark, d):
+    return churn_run(spark, d).report()
 
 
 @query
 def topic_report(spark, d):
-    return topic_model.train_topics(topic_texts(spark, d)).report()
+    return topic_run(spark, d).report()
 
 
 @query
 def topic_terms(spark, d):
-    return topic_model.top_terms(topic_model.train_topics(topic_texts(spark, d)).model)
+    return topic_model.top_terms(topic_run(spark, d).model)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshore.operators import metrics
-from tallyshore.operators.ordered import bucket_count, pin_small
+from tallyshore.operators.ordered import pin_small
 from tallyshore.operators.split import stratified_split, with_weights
 from tallyshore.schemas import CATEGORICAL_COLUMNS
 from tallyshore.session import ensure_checkpoint_dir
@@ -30,6 +30,7 @@ TARGET, ID = "churned", "user_id"
 BASELINE = "always_churn_baseline"
 MISSING = "(missing)"
 SEED = 42
+ROWS_PER_PARTITION = 50_000
 
 
 def feature_columns(dataset: DataFrame) -> tuple[list[str], list[str]]:
@@ -153,12 +154,12 @@ def predict(model: PipelineModel | None, name: str, df: DataFrame) -> DataFrame:
 
 def train_churn(
     dataset: DataFrame, trees: int = 300, max_depth: int = 10, rounds: int = 100,
-    partitions: int | None = None,
 ) -> ChurnTraining:
     """Split 60/20/20, fit on train, choose on validation, look at test once.
 
-    Training rows are put in a fixed order first: the trees draw their samples
-    by partition and position, so a task that is run again draws the same ones.
+    The trees draw their samples by partition and position. So training rows are
+    laid out by id first, in a number of partitions that follows from the row
+    count: any cluster, and any task that is run again, draws the same samples.
     """
     spark = dataset.sparkSession
     ensure_checkpoint_dir(spark)
@@ -166,12 +167,12 @@ def train_churn(
     train = data.filter("split = 'train'")
     categorical, numeric = feature_columns(dataset)
     preprocessor = fit_preprocessor(train, categorical, numeric)
+    rows = train.count()
     prepared = (
         preprocessor.transform(with_weights(train, TARGET)).select(ID, TARGET, "weight", "features")
-        .repartition(partitions or bucket_count(spark), ID).sortWithinPartitions(ID)
+        .repartition(1 + rows // ROWS_PER_PARTITION, ID).sortWithinPartitions(ID)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    rows = prepared.count()
     models: dict[str, PipelineModel] = {
         name: PipelineModel(stages=[*preprocessor.stages, estimator.fit(prepared)])
         for name, estimator in candidate_models(rows, trees, max_depth, rounds).items()}

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshore.operators import metrics
-from tallyshore.operators.ordered import bucket_count
 from tallyshore.operators.split import TOPIC_SHARES, stratified_split, with_weights
 
 # A word is a run of at least two letters, digits or underscores
 # of any script; the vocabulary keeps this many terms that occur in so many texts.
 WORD = r"[\p{L}\p{N}_]{2,}"
 MAX_TERMS, MIN_DOCS = 100_000, 5
+TEXTS_PER_PARTITION = 5_000
 
 
 def term_stages(text: str = "narrative", stop_words: Sequence[str] | None = None) -> PipelineModel:
@@ -104,13 +104,13 @@ def train_topics(
     tfidf = fit_tfidf(train, term_stages("narrative", stop_words), max_terms, min_docs)
     indexer = StringIndexer(inputCol="product", outputCol="label", handleInvalid="skip",
                             stringOrderType="alphabetAsc").fit(train)
+    rows = train.count()
     prepared = (
         tfidf.transform(with_weights(indexer.transform(train), "label"))
         .select(id_col, "label", "weight", "features")
-        .repartition(bucket_count(sample.sparkSession), id_col)
+        .repartition(1 + rows // TEXTS_PER_PARTITION, id_col)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    rows = prepared.count()
     regression = LogisticRegression(
         family="multinomial", maxIter=iterations, regParam=1.0 / rows, standardization=False,
         weightCol="weight", aggregationDepth=3).fit(prepared)

@@ -122,5 +122,5 @@ def complaint_schema() -> StructType:
     """All text but the id; dates are parsed after the read."""
     schema = StructType()
     for header in COMPLAINT_COLUMNS:
-        schema.add(header, "bigint" if header == "Complaint ID" else "string")
+        schema.add(header, "long" if header == "Complaint ID" else "string")
     return schema
