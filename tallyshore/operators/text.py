@@ -44,11 +44,20 @@ def clean_complaints(
     min_chars: int = MIN_CHARS,
     legacy_regex: bool = False,
 ) -> DataFrame:
-    """Usable rows with tidied text of at least ``min_chars``, one per complaint_id."""
+    """Usable rows with tidied text of at least ``min_chars``, one per complaint_id.
+
+    Tidying never lengthens a text, so short ones leave before it. The tidied
+    text comes out of an explode because a filter is not pushed through that:
+    over a plain column the regexes would run in the filter and again after it.
+    """
+    long_enough = F.length("narrative") >= min_chars
+    others = [c for c in complaints.columns if c != "narrative"]
     tidy = (
-        usable(complaints, states)
-        .withColumn("narrative", squeeze_text("narrative", legacy_regex))
-        .filter(F.length("narrative") >= min_chars)
+        usable(complaints, states).filter(long_enough)
+        .select(*others, F.explode(F.array(squeeze_text("narrative", legacy_regex)))
+                .alias("narrative"))
+        .filter(long_enough)
+        .select(*complaints.columns)
     )
     return newest_per_key(tidy, "complaint_id", "date_received")
 
