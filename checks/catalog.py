@@ -370,7 +370,7 @@ def topic_texts(spark, d):
 
 @query
 def text_vocabulary(spark, d):
-    docs = s.table(spark, d, "documents").select("doc_id", F.col("text").alias("narrative"))
+    docs = topic_texts(spark, d)
     terms = topic_model.term_stages(stop_words=s.STOP_WORDS).transform(docs)
     found = topic_model.with_idf(topic_model.vocabulary(terms), docs.count())
     return rounded(found, "idf")

@@ -435,14 +435,14 @@ def _vocabulary(stop_words) -> str:
     stops = ", ".join(f"'{w}'" for w in stop_words)
     return rf"""
         with words as (
-            select doc_id, list_filter(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}'),
-                                       lambda w: w not in ({stops})) as w from documents),
+            select complaint_id as doc_id, list_filter(regexp_extract_all(lower(narrative), '[\p{{L}}\p{{N}}_]{{2,}}'),
+                                       lambda w: w not in ({stops})) as w from cleaned),
         cells as (
             select doc_id, unnest(w) as term from words
             union all select doc_id, unnest(list_transform(range(1, len(w)),
                                             lambda i: w[i] || ' ' || w[i + 1])) from words)
         select term, count(*) as total, count(distinct doc_id) as docs,
-               round(ln((1 + (select count(*) from documents)) / (1.0 + count(distinct doc_id)))
+               round(ln((1 + (select count(*) from cleaned)) / (1.0 + count(distinct doc_id)))
                      + 1, 6) as idf
         from cells group by term having count(distinct doc_id) >= 5
         order by total desc, term limit 100000"""

@@ -9,8 +9,8 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    CountVectorizerModel, ElementwiseProduct, IndexToString, NGram, Normalizer, RegexTokenizer,
-    SQLTransformer, StopWordsRemover, StringIndexer)
+    CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer, SQLTransformer,
+    StopWordsRemover, StringIndexer)
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,15 +26,24 @@ TEXTS_PER_PARTITION = 5_000
 
 
 def term_stages(text: str = "narrative", stop_words: Sequence[str] | None = None) -> PipelineModel:
-    """Adds ``terms``: lower-case words without stop words, then pairs of them."""
+    """Adds ``terms``: lower-case words without stop words, then pairs of neighbours.
+
+    Plain SQL, so texts stay in Spark's own format until they are counted.
+    """
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
+    # words never contain an apostrophe, so stop words with one need no test
+    stops = ", ".join(f"'{w}'" for w in stop_words if "'" not in w)
+    kept = f"w -> w not in ({stops})" if stops else "w -> true"
     return PipelineModel(stages=[
-        RegexTokenizer(inputCol=text, outputCol="all_words", pattern=WORD, gaps=False,
-                       toLowercase=True),
-        StopWordsRemover(inputCol="all_words", outputCol="words", stopWords=list(stop_words)),
-        NGram(inputCol="words", outputCol="pairs", n=2),
-        SQLTransformer(statement="select *, concat(words, pairs) as terms from __THIS__"),
+        SQLTransformer(statement=f"""
+            select *, filter(regexp_extract_all(lower(`{text}`), r'{WORD}', 0), {kept}) as words
+            from __THIS__"""),
+        SQLTransformer(statement="""
+            select *, concat(words, if(size(words) < 2, array(), zip_with(
+                slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1),
+                (a, b) -> concat(a, ' ', b)))) as terms
+            from __THIS__"""),
     ])
 
 
