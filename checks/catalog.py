@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from checks import standins as s
 from tallyshore.functions.columns import age_group, date_key
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
 from tallyshore.plans import churn_model, marts, topic_model
+from tallyshore.session import shared_folder
+from tallyshore.sources.writers import register, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -344,8 +347,6 @@ def date_keys(spark, d):
 
 def _report(name: str, function: Callable, *averages: str) -> None:
     def run(spark, d):
-        from tallyshore.sources.writers import register
-
         register(star_tables(spark, d)[0])
         return rounded(function(spark), *averages)
     run.__name__ = name
@@ -383,15 +384,20 @@ def imputation_medians(spark, d):
     return spark.createDataFrame(list(medians.items()), "column_name string, median double")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Training reads its input many times, so it is written first, as the jobs do."""
+    return write_parquet(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}")
+
+
 @lru_cache(maxsize=1)
 def churn_run(spark, d):
-    """One training run, shared by the queries that look at it."""
-    return churn_model.train_churn(dataset(spark, d))
+    """One training run on the written dataset, shared by the queries that look at it."""
+    return churn_model.train_churn(written(dataset(spark, d), "dataset"))
 
 
 @lru_cache(maxsize=1)
 def topic_run(spark, d):
-    return topic_model.train_topics(topic_texts(spark, d))
+    return topic_model.train_topics(written(topic_texts(spark, d), "texts"))
 
 
 @query

@@ -63,9 +63,14 @@ def running_totals(
 
     ``order_by`` must be numeric or a date/time, distinct within each group of
     ``by`` (aggregate first), so that equal values cannot pile up in a bucket.
+    Runs ``df`` once, and once more for the bounds if it is not small.
     """
     by = list(by)
-    bounds = quantile_bounds(df, order_by, buckets or bucket_count(df.sparkSession))
+    whole_df, df = df, pin_small(df)
+    if df is not whole_df and buckets is None:
+        bounds = []  # it fits in one bucket
+    else:
+        bounds = quantile_bounds(df, order_by, buckets or bucket_count(df.sparkSession))
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     tagged = df.withColumn("_bucket", search_tree(F.col(order_by), bounds))
 

@@ -92,6 +92,15 @@ def test_auc_and_average_precision(spark):
     assert (got.roc_auc, got.pr_auc) == pytest.approx(brute_auc(rows))
 
 
+def test_auc_is_the_same_when_the_scores_are_too_many_to_pin(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(int(rng.random() < 0.7), rng.random()) for _ in range(300)]
+    df = spark.createDataFrame(rows, "label int, probability double").repartition(5)
+    monkeypatch.setattr(ordered, "pin_small", lambda df: df)
+    got = metrics.ranking_metrics(df, digits=None).first()
+    assert (got.roc_auc, got.pr_auc) == pytest.approx(brute_auc(rows))
+
+
 def test_auc_of_one_class(spark):
     only = lambda y: spark.createDataFrame([(y, 0.3), (y, 0.6)], "label int, probability double")
     assert tuple(metrics.ranking_metrics(only(1)).first()) == (None, 1.0)
