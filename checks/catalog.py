@@ -371,7 +371,7 @@ def topic_texts(spark, d):
 
 @query
 def text_vocabulary(spark, d):
-    docs = topic_texts(spark, d)
+    docs = written(topic_texts(spark, d), "texts")
     terms = topic_model.term_stages(stop_words=s.STOP_WORDS).transform(docs)
     found = topic_model.with_idf(topic_model.vocabulary(terms), docs.count())
     return rounded(found, "idf")

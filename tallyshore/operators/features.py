@@ -59,19 +59,32 @@ def labeled_order_features(orders: DataFrame, cutoff: Column) -> DataFrame:
     )
 
 
+def exact_sum(amount: str) -> Column:
+    """Sum to a millionth, as decimal: the same for any order of rows.
+
+    Whole units and millionths are summed as longs. That is much cheaper than a
+    decimal per row, and neither part can overflow for a customer's trillions of rows.
+    """
+    millionths = F.floor(F.col(amount) * 1e6 + 0.5)
+    units = F.floor(millionths / 1e6)
+    one = F.lit("0.000001").cast("decimal(6,6)")
+    return (F.sum(units).cast("decimal(19,0)")
+            + F.sum(millionths - units * 1_000_000).cast("decimal(19,0)") * one)
+
+
 def product_lookup(products: DataFrame) -> DataFrame:
     return products.select(F.col("id").alias("product_id"), "category", "department")
 
 
 def spend_features(order_items: DataFrame, products: DataFrame, cutoff: Column) -> DataFrame:
-    """Money is summed as decimal, so the total does not depend on the order of rows.
+    """Spend, basket and return features.
 
-    The product side is broadcast by Catalyst while it is small; beyond that a
-    product with very many items is split by the adaptive skew join.
+    Catalyst broadcasts the products while they are small; beyond that a product
+    with very many items is split by the adaptive skew join.
     """
     # != also drops items without a status
     bought = known_until(order_items, cutoff).filter(F.col("status") != CANCELLED)
-    spent = F.sum(F.col("sale_price").cast("decimal(18,6)"))
+    spent = exact_sum("sale_price")
     return (
         bought.join(product_lookup(products).select("product_id", "category"),
                     "product_id", "left")
