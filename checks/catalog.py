@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from uuid import uuid4
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,10 @@ from checks import standins as s
 from tallyshore.functions.columns import age_group, date_key
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
 from tallyshore.plans import churn_model, marts, topic_model
+from tallyshore.schemas import COMPLAINT_COLUMNS, shop_schema
 from tallyshore.session import shared_folder
+from tallyshore.sources import readers
+from tallyshore.sources.multiline import read_complaints_split
 from tallyshore.sources.writers import register, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,6 +182,40 @@ def distinct_product_count(spark, d):
     return audit.distinct_count(s.products(spark, d), "category")
 
 
+# --- sources ----------------------------------------------------------------
+
+def _csv_folder(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+
+
+@query
+def csv_round_trip(spark, d):
+    """Events written as a raw CSV export, ids as decimal text, and read by the typed reader."""
+    events = s.events(spark, d).withColumns({
+        "user_id": F.concat(F.col("user_id").cast("string"), F.lit(".0")),
+        "created_at": F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")})
+    blank = F.lit(None).cast("string")
+    path = _csv_folder(spark, "events-csv")
+    events.select(*[F.col(c) if c in events.columns else blank.alias(c)
+                    for c in shop_schema("events").names]).write.csv(path, header=True)
+    return text_dates(readers.read_shop_csv(spark, "events", path).select(*events.columns))
+
+
+@query
+def complaints_round_trip(spark, d):
+    """Texts with newlines, commas and quotes through CSV and the parallel reader."""
+    source = s.complaints(spark, d)
+    blank = F.lit(None).cast("string")
+    path = _csv_folder(spark, "complaints-csv")
+    source.select(*[
+        (F.col(ours) if ours in source.columns else blank).alias(header)
+        for header, ours in COMPLAINT_COLUMNS.items()
+    ]).write.csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+                 ignoreTrailingWhiteSpace=False, escapeQuotes=True)
+    back = read_complaints_split(spark, path, _csv_folder(spark, "lines"))
+    return text_dates(back.select(*source.columns))
+
+
 # --- texts ------------------------------------------------------------------
 
 def cleaned(spark, d):
@@ -389,6 +427,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return write_parquet(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}")
 
 
+@query
+def model_inputs(spark, d):
+    """Imputed, scaled and one-hot columns as the models see them."""
+    data = written(dataset(spark, d), "dataset")
+    categorical, numeric = churn_model.feature_columns(data)
+    fitted = churn_model.fit_preprocessor(data, categorical, numeric)
+    names = churn_model.feature_names(fitted, categorical, numeric)
+    ready = fitted.transform(data)
+    values = vector_to_array(ready["features"])
+    wanted = ["gender=F", "gender=M", *numeric]
+    return ready.select("user_id", *[
+        (F.round(values[names.index(n)], 6) + 0.0).alias(n.replace("=", "_").lower())
+        for n in wanted])
+
+
 @lru_cache(maxsize=1)
 def churn_run(spark, d):
     """One training run on the written dataset, shared by the queries that look at it."""

@@ -426,6 +426,24 @@ _BODIES = {
         select cast(sum(complaint_count) as bigint) as complaints from fact_comp""",
 }
 
+_NUMBERS = [c for c in DATASET_COLUMNS
+            if c not in ("user_id", "churned", "gender", "state", "traffic_source")]
+# a column without spread scales to 0
+_BODIES["model_inputs"] = (
+    "with filled as (select user_id, gender, "
+    + ", ".join(f"cast(coalesce({c}, median({c}) over ()) as double) as {c}" for c in _NUMBERS)
+    + " from dataset) select user_id, "
+    "case when gender = 'F' then 1.0 else 0.0 end as gender_f, "
+    "case when gender = 'M' then 1.0 else 0.0 end as gender_m, "
+    + ", ".join(f"round(coalesce(({c} - avg({c}) over ()) / nullif(stddev_samp({c}) over (), 0), "
+                f"0), 6) + 0.0 as {c}" for c in _NUMBERS)
+    + " from filled")
+_BODIES["csv_round_trip"] = f"""
+    select id, user_id, session_id, strftime(created_at, {_MICROS}) as created_at, event_type
+    from shop_events"""
+_BODIES["complaints_round_trip"] = """
+    select complaint_id, strftime(date_received, '%Y-%m-%d') as date_received, product, state,
+           narrative from complaints"""
 _BODIES["imputation_medians"] = " union all ".join(
     f"select '{c}' as column_name, median({c}) as median from lineitem"
     for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
