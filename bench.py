@@ -22,6 +22,14 @@ QUERIES = (
 )
 
 
+def scale() -> float | str:
+    name = os.path.basename(FOLDER.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     from checks.catalog import CATALOG
     from tallyshore.session import get_session
@@ -41,7 +49,7 @@ def main() -> None:
     seconds = {name: round(min(run(name), run(name)), 3) for name in QUERIES}
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": float(os.path.basename(FOLDER.rstrip("/"))[2:])}))
+        "queries": seconds, "sf": scale()}))
     spark.stop()
 
 

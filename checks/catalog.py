@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import lru_cache
-from uuid import uuid4
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -184,8 +184,9 @@ def distinct_product_count(spark, d):
 
 # --- sources ----------------------------------------------------------------
 
-def _csv_folder(spark, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+def _folder(spark, d: str, name: str) -> str:
+    """A folder per query and data set, overwritten by the next run of the same query."""
+    return f"{shared_folder(spark)}/checks/{os.path.basename(d.rstrip('/'))}-{name}"
 
 
 @query
@@ -195,9 +196,9 @@ def csv_round_trip(spark, d):
         "user_id": F.concat(F.col("user_id").cast("string"), F.lit(".0")),
         "created_at": F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")})
     blank = F.lit(None).cast("string")
-    path = _csv_folder(spark, "events-csv")
+    path = _folder(spark, d, "events-csv")
     events.select(*[F.col(c) if c in events.columns else blank.alias(c)
-                    for c in shop_schema("events").names]).write.csv(path, header=True)
+                    for c in shop_schema("events").names]).write.csv(path, mode="overwrite", header=True)
     return text_dates(readers.read_shop_csv(spark, "events", path).select(*events.columns))
 
 
@@ -206,13 +207,13 @@ def complaints_round_trip(spark, d):
     """Texts with newlines, commas and quotes through CSV and the parallel reader."""
     source = s.complaints(spark, d)
     blank = F.lit(None).cast("string")
-    path = _csv_folder(spark, "complaints-csv")
+    path = _folder(spark, d, "complaints-csv")
     source.select(*[
         (F.col(ours) if ours in source.columns else blank).alias(header)
         for header, ours in COMPLAINT_COLUMNS.items()
-    ]).write.csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
-                 ignoreTrailingWhiteSpace=False, escapeQuotes=True)
-    back = read_complaints_split(spark, path, _csv_folder(spark, "lines"))
+    ]).write.csv(path, mode="overwrite", header=True, quote='"', escape='"',
+                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    back = read_complaints_split(spark, path, _folder(spark, d, "complaint-lines"))
     return text_dates(back.select(*source.columns))
 
 
@@ -409,7 +410,7 @@ def topic_texts(spark, d):
 
 @query
 def text_vocabulary(spark, d):
-    docs = written(topic_texts(spark, d), "texts")
+    docs = written(topic_texts(spark, d), d, "vocabulary-texts")
     terms = topic_model.term_stages(stop_words=s.STOP_WORDS).transform(docs)
     found = topic_model.with_idf(topic_model.vocabulary(terms), docs.count())
     return rounded(found, "idf")
@@ -422,15 +423,15 @@ def imputation_medians(spark, d):
     return spark.createDataFrame(list(medians.items()), "column_name string, median double")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, d: str, name: str) -> DataFrame:
     """Training reads its input many times, so it is written first, as the jobs do."""
-    return write_parquet(df, f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}")
+    return write_parquet(df, _folder(df.sparkSession, d, name))
 
 
 @query
 def model_inputs(spark, d):
     """Imputed, scaled and one-hot columns as the models see them."""
-    data = written(dataset(spark, d), "dataset")
+    data = written(dataset(spark, d), d, "model-inputs")
     categorical, numeric = churn_model.feature_columns(data)
     fitted = churn_model.fit_preprocessor(data, categorical, numeric)
     names = churn_model.feature_names(fitted, categorical, numeric)
@@ -445,12 +446,12 @@ def model_inputs(spark, d):
 @lru_cache(maxsize=1)
 def churn_run(spark, d):
     """One training run on the written dataset, shared by the queries that look at it."""
-    return churn_model.train_churn(written(dataset(spark, d), "dataset"))
+    return churn_model.train_churn(written(dataset(spark, d), d, "churn-dataset"))
 
 
 @lru_cache(maxsize=1)
 def topic_run(spark, d):
-    return topic_model.train_topics(written(topic_texts(spark, d), "texts"))
+    return topic_model.train_topics(written(topic_texts(spark, d), d, "topic-texts"))
 
 
 @query

@@ -76,22 +76,33 @@ def window_sweep(orders: DataFrame, windows: Sequence[int] = (90, 180, 365)) ->
 def order_gaps(orders: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """user_id, created_at, prev_order_at, gap_days: one row per repeat purchase.
 
-    A customer's history is cut into time slices. The previous order is taken
-    within the slice, or is the newest of the customer's last slice before it.
-    So no window holds more than one slice's orders, or one row per slice.
+    Orders of one customer and moment are first merged, and a customer's moments
+    are cut into time slices: the moment before is found within the slice, or is
+    the newest of the customer's last slice before it. So no window holds more
+    than a slice's moments, or one row per slice. Of several orders at one moment
+    the lowest id follows the moment before, and the others follow each other.
     """
     known = purchases(orders).filter(F.col("user_id").isNotNull()).select(
-        "user_id", "created_at", F.date_trunc(slice_unit, "created_at").alias("_slice"))
+        "user_id", "created_at", "order_id")
+    moments = (
+        known.groupBy("user_id", "created_at").agg(F.min("order_id").alias("_first"))
+        .withColumn("_slice", F.date_trunc(slice_unit, "created_at"))
+    )
     carried = (
-        known.groupBy("user_id", "_slice").agg(F.max("created_at").alias("_newest"))
+        moments.groupBy("user_id", "_slice").agg(F.max("created_at").alias("_newest"))
         .select("user_id", "_slice", F.lag("_newest").over(
             Window.partitionBy("user_id").orderBy("_slice")).alias("_carried"))
     )
     inside = Window.partitionBy("user_id", "_slice").orderBy("created_at")
+    before = (
+        moments.join(carried, ["user_id", "_slice"])
+        .select("user_id", "created_at", "_first",
+                F.coalesce(F.lag("created_at").over(inside), F.col("_carried")).alias("_before"))
+    )
+    follows = F.when(F.col("order_id") == F.col("_first"), F.col("_before"))
     return (
-        known.join(carried, ["user_id", "_slice"])
-        .withColumn("prev_order_at",
-                    F.coalesce(F.lag("created_at").over(inside), F.col("_carried")))
+        known.join(before, ["user_id", "created_at"])
+        .withColumn("prev_order_at", follows.otherwise(F.col("created_at")))
         .filter(F.col("prev_order_at").isNotNull())
         .select("user_id", "created_at", "prev_order_at",
                 F.datediff("created_at", "prev_order_at").alias("gap_days"))

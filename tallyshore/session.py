@@ -8,6 +8,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: dict[str, str] = {}  # by application, for local masters only
 
 
 def get_session(app_name: str, **conf: str) -> SparkSession:
@@ -47,9 +48,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tallyshore-")
-    spark.conf.set(_CHECKPOINT_KEY, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tallyshore-")
+    return _LOCAL_FOLDERS[app]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -42,8 +42,8 @@ def write_jdbc(tables: Mapping[str, DataFrame], url: str, mode: str = "append",
     At most ``writers`` connections are opened at a time.
     """
     for name, df in tables.items():
-        (df.coalesce(writers).write.mode(mode).option("batchsize", 1000)
-         .options(**properties).jdbc(url, name))
+        (df.write.mode(mode).option("batchsize", 1000).option("numPartitions", writers)
+         .jdbc(url, name, properties=properties))
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:

@@ -89,7 +89,7 @@ def gap_orders(spark, hot=False):
     rows = []
     for i in range(600):
         user = 1 if hot and i % 3 == 0 else rng.randint(1, 60)
-        minutes = rng.choice([rng.randint(0, 400_000), 1439, 1441, 2880])
+        minutes = rng.choice([rng.randint(0, 400_000), 60, 1439, 1441, 2880])
         rows.append((i, user, "Complete", base + dt.timedelta(minutes=minutes), 1))
     return rows
 
