@@ -44,11 +44,38 @@ def bucket_count(spark: SparkSession) -> int:
     return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024))
 
 
-def quantile_bounds(df: DataFrame, column: str, buckets: int) -> list:
-    """Runs one scan; bounds that cut ``df`` into about equal buckets."""
+def quantile_bounds(df: DataFrame, column: str, buckets: int, one_up_to: int = 0) -> list:
+    """Runs one scan; bounds that cut ``df`` into about equal buckets.
+
+    Up to ``one_up_to`` rows need no bounds: one bucket holds them.
+    """
     shares = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(column, shares, 10_000)).first()[0] or []
-    return sorted(set(found))
+    rows, found = df.agg(F.count("*"), F.percentile_approx(column, shares, 10_000)).first()
+    return sorted(set(found)) if found and rows > one_up_to else []
+
+
+def bucket_offsets(
+    df: DataFrame, order_by: str, sums: Sequence[str], by: Sequence[str] = (),
+    descending: bool = False, buckets: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their ``_bucket``, and per bucket ``_before_<c>``, ``_in_<c>``, ``all_<c>``."""
+    if buckets is None:
+        bounds = quantile_bounds(df, order_by, bucket_count(df.sparkSession), PIN_ROWS)
+    else:
+        bounds = quantile_bounds(df, order_by, buckets)
+    tagged = df.withColumn("_bucket", search_tree(F.col(order_by), bounds))
+    keys = list(by) or [F.lit(0)]
+    order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = (  # one row per bucket
+        tagged.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_in_{c}") for c in sums])
+        .select(*by, "_bucket", *[f"_in_{c}" for c in sums],
+                *[F.coalesce(F.sum(f"_in_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}")
+                  for c in sums],
+                *[F.sum(f"_in_{c}").over(whole).alias(f"all_{c}") for c in sums])
+    )
+    return tagged, offsets
 
 
 def running_totals(
@@ -63,28 +90,11 @@ def running_totals(
 
     ``order_by`` must be numeric or a date/time, distinct within each group of
     ``by`` (aggregate first), so that equal values cannot pile up in a bucket.
-    Runs ``df`` once, and once more for the bounds if it is not small.
+    Runs ``df`` once for the bounds.
     """
-    by = list(by)
-    whole_df, df = df, pin_small(df)
-    if df is not whole_df and buckets is None:
-        bounds = []  # it fits in one bucket
-    else:
-        bounds = quantile_bounds(df, order_by, buckets or bucket_count(df.sparkSession))
-    direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    tagged = df.withColumn("_bucket", search_tree(F.col(order_by), bounds))
-
-    keys = by or [F.lit(0)]
-    per_bucket = tagged.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
-    earlier = Window.partitionBy(*keys).orderBy(direction("_bucket")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    offsets = per_bucket.select(
-        *by, "_bucket",
-        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums],
-        *[F.sum(c).over(whole).alias(f"all_{c}") for c in sums],
-    )
-    local = Window.partitionBy(*by, "_bucket").orderBy(direction(order_by)).rowsBetween(
+    tagged, offsets = bucket_offsets(df, order_by, sums, by, descending, buckets)
+    order = F.col(order_by).desc() if descending else F.col(order_by).asc()
+    local = Window.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return tagged.join(offsets, [*by, "_bucket"]).select(
         *df.columns,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshore.functions.columns import stable_hash
-from tallyshore.operators.ordered import hash_cuts, pin_small, pin_value, running_totals
+from tallyshore.operators.ordered import bucket_offsets, hash_cuts, pin_small, pin_value
 
 SALT = "42"
 CHURN_SHARES = {"train": 0.6, "validation": 0.2, "test": 0.2}
@@ -63,14 +63,20 @@ def top_share(
 ) -> DataFrame:
     """The ``ceil(share * n)`` rows with the highest score; ties go by hashed id.
 
-    Scores are counted first, which gives the score at the limit. Only if that
-    score is shared is a hash limit found among its rows. No global sort.
+    Scores are counted first. Bucket totals tell which bucket holds the limit, and
+    only that one is sorted. If the score at the limit is shared, a hash limit is
+    found among its rows. No global sort.
     """
     counts = scored.groupBy(score).agg(F.count("*").alias("rows"))
-    ranked = running_totals(counts, score, ["rows"], descending=True)
+    tagged, offsets = bucket_offsets(counts, score, ["rows"], descending=True)
     wanted = F.expr(f"(all_rows * {round(share * 1000)} + 999) div 1000")
+    need = wanted - F.col("_before_rows")
+    hit = pin_small(offsets.filter(need.between(1, F.col("_in_rows"))))
+    upto = Window.partitionBy("_bucket").orderBy(F.desc(score)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     edge = (
-        ranked.withColumn("_need", wanted - (F.col("cum_rows") - F.col("rows")))
+        tagged.join(hit, "_bucket")
+        .withColumn("_need", need - (F.sum("rows").over(upto) - F.col("rows")))
         .filter("_need between 1 and rows")
         .select(score, "_need").first()
     )

@@ -37,8 +37,9 @@ def test_split_without_rows(spark):
     assert split.stratified_split(df, "id", "label").count() == 0
 
 
-@pytest.mark.parametrize("share", [0.2, 0.5, 1.0])
-def test_top_share_with_a_hot_score(spark, share):
+@pytest.mark.parametrize("share, pin", [(0.2, 50_000), (0.5, 10), (0.1, 10), (1.0, 10)])
+def test_top_share_with_a_hot_score(spark, monkeypatch, share, pin):
+    monkeypatch.setattr(ordered, "PIN_ROWS", pin)
     rng = random.Random(2)
     rows = [(i, 0.7 if i % 3 else rng.random()) for i in range(1, 400)]
     df = spark.createDataFrame(rows, "id long, p double").repartition(5)
@@ -96,7 +97,7 @@ def test_auc_is_the_same_when_the_scores_are_too_many_to_pin(spark, monkeypatch)
     rng = random.Random(6)
     rows = [(int(rng.random() < 0.7), rng.random()) for _ in range(300)]
     df = spark.createDataFrame(rows, "label int, probability double").repartition(5)
-    monkeypatch.setattr(ordered, "pin_small", lambda df: df)
+    monkeypatch.setattr(ordered, "PIN_ROWS", 10)
     got = metrics.ranking_metrics(df, digits=None).first()
     assert (got.roc_auc, got.pr_auc) == pytest.approx(brute_auc(rows))
 
