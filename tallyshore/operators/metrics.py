@@ -27,7 +27,7 @@ def ranking_metrics(
     by = list(by)
     steps = scored.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    curve = running_totals(steps, score, ["pos", "neg"], by=by, descending=True)
+    curve = running_totals(steps, score, ["pos", "neg"], by=by, descending=True, raw=scored)
     whole = "decimal(38,0)"
     pairs = F.col("neg").cast(whole) * (2 * F.col("cum_pos") - F.col("pos")).cast("decimal(19,0)")
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))

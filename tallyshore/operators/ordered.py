@@ -56,13 +56,18 @@ def quantile_bounds(df: DataFrame, column: str, buckets: int, one_up_to: int = 0
 
 def bucket_offsets(
     df: DataFrame, order_by: str, sums: Sequence[str], by: Sequence[str] = (),
-    descending: bool = False, buckets: int | None = None,
+    descending: bool = False, buckets: int | None = None, raw: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows with their ``_bucket``, and per bucket ``_before_<c>``, ``_in_<c>``, ``all_<c>``."""
+    """Rows with their ``_bucket``, and per bucket ``_before_<c>``, ``_in_<c>``, ``all_<c>``.
+
+    ``raw`` may give the rows that ``df`` aggregates: their quantiles bound the
+    distinct values per bucket as well, and need no shuffle.
+    """
+    source = df if raw is None else raw
     if buckets is None:
-        bounds = quantile_bounds(df, order_by, bucket_count(df.sparkSession), PIN_ROWS)
+        bounds = quantile_bounds(source, order_by, bucket_count(df.sparkSession), PIN_ROWS)
     else:
-        bounds = quantile_bounds(df, order_by, buckets)
+        bounds = quantile_bounds(source, order_by, buckets)
     tagged = df.withColumn("_bucket", search_tree(F.col(order_by), bounds))
     keys = list(by) or [F.lit(0)]
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
@@ -85,14 +90,15 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     buckets: int | None = None,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``cum_<c>`` and ``all_<c>`` for each column in ``sums``.
 
     ``order_by`` must be numeric or a date/time, distinct within each group of
     ``by`` (aggregate first), so that equal values cannot pile up in a bucket.
-    Runs ``df`` once for the bounds.
+    Runs ``df``, or ``raw`` (see ``bucket_offsets``), once for the bounds.
     """
-    tagged, offsets = bucket_offsets(df, order_by, sums, by, descending, buckets)
+    tagged, offsets = bucket_offsets(df, order_by, sums, by, descending, buckets, raw)
     order = F.col(order_by).desc() if descending else F.col(order_by).asc()
     local = Window.partitionBy(*by, "_bucket").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

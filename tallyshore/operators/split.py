@@ -68,7 +68,7 @@ def top_share(
     found among its rows. No global sort.
     """
     counts = scored.groupBy(score).agg(F.count("*").alias("rows"))
-    tagged, offsets = bucket_offsets(counts, score, ["rows"], descending=True)
+    tagged, offsets = bucket_offsets(counts, score, ["rows"], descending=True, raw=scored)
     wanted = F.expr(f"(all_rows * {round(share * 1000)} + 999) div 1000")
     need = wanted - F.col("_before_rows")
     hit = pin_small(offsets.filter(need.between(1, F.col("_in_rows"))))
