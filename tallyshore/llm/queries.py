@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import mixture, tokens, urls
+from tallyshore.llm import embeddings, mixture, tokens, urls
 from tallyshore.llm.common import table
 
 URL_RULES = (
@@ -25,6 +25,10 @@ def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix(table(spark, folder, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = tokens.encode_documents(
@@ -35,7 +39,8 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-CATALOG = {f.__name__: f for f in (op2_url_filters, op6_source_mix, op10_bpe_round_trip)}
+CATALOG = {f.__name__: f for f in (op2_url_filters, op6_source_mix, op8_embedding_dedup,
+                                  op10_bpe_round_trip)}
 
 ORACLES = {
     "op2_url_filters": r"""
