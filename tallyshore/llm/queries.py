@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import embeddings, mixture, tokens, urls
+from tallyshore.llm import embeddings, minhash, mixture, tokens, urls
 from tallyshore.llm.common import table
 
 URL_RULES = (
@@ -16,6 +16,10 @@ URL_RULES = (
 )
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), minhash.Settings(shingle=2))
+
+
 def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urls.judge(pages, URL_RULES).drop("url")
@@ -39,7 +43,7 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-CATALOG = {f.__name__: f for f in (op2_url_filters, op6_source_mix, op8_embedding_dedup,
+CATALOG = {f.__name__: f for f in (op1_minhash_dedup, op2_url_filters, op6_source_mix, op8_embedding_dedup,
                                   op10_bpe_round_trip)}
 
 ORACLES = {
