@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import embeddings, minhash, mixture, tokens, urls
+from tallyshore.llm import embeddings, minhash, mixture, quality, tokens, toxicity, urls
 from tallyshore.llm.common import table
 
 URL_RULES = (
@@ -25,6 +25,11 @@ def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, URL_RULES).drop("url")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix(table(spark, folder, "documents"))
 
@@ -33,6 +38,11 @@ def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = tokens.encode_documents(
@@ -43,8 +53,9 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-CATALOG = {f.__name__: f for f in (op1_minhash_dedup, op2_url_filters, op6_source_mix, op8_embedding_dedup,
-                                  op10_bpe_round_trip)}
+CATALOG = {f.__name__: f for f in (
+    op1_minhash_dedup, op2_url_filters, op5_toxicity, op6_source_mix, op8_embedding_dedup, op9_quality,
+    op10_bpe_round_trip)}
 
 ORACLES = {
     "op2_url_filters": r"""
