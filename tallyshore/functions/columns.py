@@ -60,14 +60,15 @@ def equal_width_bin(value: Column, low: Column, high: Column, bins: int) -> Colu
 
 
 def search_tree(value: Column, bounds: Sequence) -> Column:
-    """How many of the sorted ``bounds`` are <= value, as a balanced CASE tree.
+    """How many of the sorted ``bounds`` are <= value, by binary search in one literal array.
 
-    log2(n) comparisons per row, compiled with the rest of the stage.
+    log2(n) steps per row; the generated code has the same size for any n.
     """
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(bounds[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
-
-    return node(0, len(bounds))
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    listed = F.lit(list(bounds)) if not hasattr(bounds[0], "isoformat") else F.array(*map(F.lit, bounds))
+    return F.aggregate(
+        F.lit(steps), F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= len(bounds)) & (F.get(listed, at + step - 1) <= value), at + step).otherwise(at))
