@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import embeddings, minhash, mixture, quality, tokens, toxicity, urls
+from tallyshore.llm import embeddings, fingerprints, minhash, mixture, quality, tokens, toxicity, urls
 from tallyshore.llm.common import table
 
 URL_RULES = (
@@ -25,6 +25,10 @@ def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, URL_RULES).drop("url")
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
@@ -54,7 +58,7 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CATALOG = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_url_filters, op5_toxicity, op6_source_mix, op8_embedding_dedup, op9_quality,
+    op1_minhash_dedup, op2_url_filters, op3_fingerprints, op5_toxicity, op6_source_mix, op8_embedding_dedup, op9_quality,
     op10_bpe_round_trip)}
 
 ORACLES = {

@@ -15,8 +15,8 @@ from tallyshore.llm.sampling import SAMPLE, labelled
 
 BITS = 18  # of the hash of an n-gram
 SIZES = (4, 5)  # characters in an n-gram
-KEPT = 1 << 13  # n-grams that the linear model weighs
-SMOOTH, RIDGE, STEPS = 1.0, 1e-3, 300
+KEPT = 1 << 11  # n-grams that the linear model weighs
+SMOOTH, RIDGE, STEPS = 1.0, 1e-4, 300
 
 
 def ngrams(texts: list[str]) -> Iterator[np.ndarray]:
