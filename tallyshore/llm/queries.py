@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import embeddings, fingerprints, minhash, mixture, quality, tokens, toxicity, urls
+from tallyshore.llm import embeddings, fingerprints, licenses, minhash, mixture, quality, tokens, toxicity, urls
 from tallyshore.llm.common import table
 
 URL_RULES = (
@@ -38,6 +38,10 @@ def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix(table(spark, folder, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -58,7 +62,7 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CATALOG = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_url_filters, op3_fingerprints, op5_toxicity, op6_source_mix, op8_embedding_dedup, op9_quality,
+    op1_minhash_dedup, op2_url_filters, op3_fingerprints, op5_toxicity, op6_source_mix, op7_license_scan, op8_embedding_dedup, op9_quality,
     op10_bpe_round_trip)}
 
 ORACLES = {
@@ -108,4 +112,32 @@ select doc_id, source, size, source_size, target,
   (whole * size + case when upto <= rest then size
                        when upto - here < rest then size * (rest - (upto - here)) // here else 0 end)::bigint as taken
 from placed""",
+    "op7_license_scan": r"""
+with texts as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t
+  from documents),
+listed as (
+  select doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w, string_split(t, chr(10)) lines from texts),
+places as (
+  select doc_id, unnest(list_filter(range(1, len(w) + 1),
+    lambda i: (w[i] = 'mit' or w[i] = 'apache') and w[i + 1] = 'license'
+      or w[i] = 'general' and w[i + 1] = 'public' and w[i + 2] = 'license')) i, w
+  from listed),
+base as (
+  select doc_id, count(*) n_base, min(i) - 1 first_word, max(i) - 1 last_word,
+    list(distinct case w[i] when 'general' then 'gpl' else w[i] end) base
+  from places group by doc_id),
+templates as (select label, string_split(words, ' ') words from (values
+  @templates@) t(label, words)),
+blocks as (select doc_id, regexp_extract_all(unnest(lines), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') words from listed),
+shares as (
+  select doc_id, label, len(list_intersect(t.words, b.words)) / len(t.words) share from blocks b, templates t
+  where list_has_any(t.words, b.words)),
+more as (select doc_id, list(distinct label) more, max(share) share from shares where share >= 0.8 group by doc_id)
+select l.doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, first_word::bigint first_word,
+  last_word::bigint last_word, coalesce(array_to_string(list_sort(base), ','), '') base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') labels,
+  case when n_base > 0 then 1.0::double else coalesce(share, 0)::double end score
+from listed l left join base b on l.doc_id = b.doc_id left join more m on l.doc_id = m.doc_id""".replace(
+        "@templates@", ",\n  ".join(f"('{label}', '{words}')" for label, words in licenses.TEMPLATES)),
 }
