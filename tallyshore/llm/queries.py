@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import embeddings, fingerprints, licenses, minhash, mixture, quality, tokens, toxicity, urls
+from tallyshore.llm import embeddings, fingerprints, licenses, lines, minhash, mixture, quality, tokens, toxicity, urls
 from tallyshore.llm.common import table
 
 URL_RULES = (
@@ -29,6 +29,10 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
@@ -62,7 +66,7 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CATALOG = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_url_filters, op3_fingerprints, op5_toxicity, op6_source_mix, op7_license_scan, op8_embedding_dedup, op9_quality,
+    op1_minhash_dedup, op2_url_filters, op3_fingerprints, op4_line_dedup, op5_toxicity, op6_source_mix, op7_license_scan, op8_embedding_dedup, op9_quality,
     op10_bpe_round_trip)}
 
 ORACLES = {
