@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from tallyshore.llm.common import Scratch, components, mix, shingle_sets, shingles, slices
 
-BLOCK = 256  # members a leader is compared with in one task, and of a block of the rest
+BLOCK = 256  # members a leader is compared with in one task
+REST_BLOCK = 1024  # members of a block of a family
+NEAR = 30  # percent; two texts that link but meet in no bucket with a leader as near as this are next to impossible
 
 
 @dataclass(frozen=True)
@@ -94,7 +96,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, pool: DataFrame, settings: Settings) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough.
+    """``a, b, linked`` for those of ``pairs`` (a, b) with similarity ``NEAR`` or more, on full sets.
 
     The pairs of a document b are cut into blocks of bounded size, and its text
     goes to each of them. Texts are then met in order, b's first, so that a
@@ -121,63 +123,75 @@ def _confirm(pairs: DataFrame, pool: DataFrame, settings: Settings) -> DataFrame
                 elif leader == b:
                     other = shingles(text, size)
                     both = len(own & other)
-                    if 100 * both >= percent * (len(own) + len(other) - both):
-                        found.append((doc, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
-                ["a", "b"])
+                    all_ = len(own) + len(other) - both
+                    if 100 * both >= min(NEAR, percent) * all_:
+                        found.append((doc, b, 100 * both >= percent * all_))
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(("a", "b", "linked"), x)) for x in found],
+                pa.schema({"a": pa.int64(), "b": pa.int64(), "linked": pa.bool_()}))
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def _across(one: dict, two: dict, bands: int, least: int) -> Iterator[tuple[int, int]]:
-    """Pairs of two blocks of a bucket in different components whose sketches agree in ``least`` places."""
-    left, right = (np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(len(x["doc"]), -1) for x in (one, two))
-    parts = np.array(two["part"])
-    docs = np.array(two["doc"])
-    for i, doc in enumerate(one["doc"]):
-        other = np.flatnonzero((parts != one["part"][i]) & (docs != doc))
-        if len(other):
-            equal = (right[other] == left[i]).sum(axis=1)
-            for j in other[equal >= least]:
-                yield min(doc, int(docs[j])), max(doc, int(docs[j]))
+def _across(block: pa.Table, settings: Settings) -> pa.Table:
+    """What the links between two blocks of a family connect, as ``doc`` and a smaller ``b``.
 
-
-def _rest(members: DataFrame, parts: DataFrame, sketches: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs that share a bucket, aren't connected yet and have sketches that may reach the threshold.
-
-    Only buckets with several components are looked at, in blocks of bounded
-    size; each pair of blocks is one row of a join.
+    Only pairs in different parts with sketches that agree in enough places are
+    compared on whole sets, and none that earlier links have connected.
     """
-    known = members.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", F.coalesce("component", "doc").alias("part"))
-    mixed = known.groupBy("key").agg(
+    order = np.argsort(block["doc"].to_numpy(), kind="stable")
+    block = block.take(pa.array(order))
+    docs, parts = block["doc"].to_numpy(), block["part"].to_numpy()
+    sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(docs), -1)
+    own, one, two = (block[c].to_numpy() for c in ("block", "one", "two"))
+    least = int(np.ceil(settings.sure_below * settings.bands * settings.rows))
+    label = np.unique(parts, return_inverse=True)[1].astype(np.int64)
+    texts, sets = block["text"], {}
+
+    def whole(i: int) -> set:
+        if i not in sets:
+            sets[i] = shingles(texts[i].as_py(), settings.shingle)
+        return sets[i]
+
+    right = np.flatnonzero(own == two)
+    linked = []
+    for i in np.flatnonzero(own == one):
+        equal = (sketches[right] == sketches[i]).sum(axis=1)
+        for j in right[(equal >= least) & (label[right] != label[i])]:
+            if label[i] == label[j]:
+                continue
+            both = len(whole(i) & whole(j))
+            if 100 * both >= settings.percent * (len(sets[i]) + len(sets[j]) - both):
+                linked.append((docs[i], docs[j]))
+                label[label == label[j]] = label[i]
+    return pa.table({"a": pa.array([a for a, _ in linked], pa.int64()),
+                     "b": pa.array([b for _, b in linked], pa.int64())})
+
+
+def _rest(families: DataFrame, parts: DataFrame, sketches: DataFrame, pool: DataFrame,
+          settings: Settings) -> DataFrame:
+    """Links between the parts of a family, at most one for each text of a pair of blocks.
+
+    Each pair of blocks of a family with several parts is a group of bounded
+    size that holds texts and sketches, so that no pair of texts leaves a task
+    but those that connect what wasn't.
+    """
+    known = families.withColumnsRenamed({"node": "doc", "component": "family"}).join(
+        parts.withColumnsRenamed({"node": "doc", "component": "part"}), "doc", "left").select(
+        "doc", "family", F.coalesce("part", "doc").alias("part"))
+    mixed = known.groupBy("family").agg(
         F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low <> high")
-    open_ = known.join(mixed.select("key", "n"), "key").join(sketches, "doc")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    # ordered by component, so that most pairs of blocks of a large one are no pairs of different ones
-    grouped = (
-        open_.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-        .groupBy("key", "blocks", "block").agg(
-            F.collect_list("doc").alias("doc"), F.collect_list("part").alias("part"),
-            F.collect_list("sketch").alias("sketch")))
-    one = grouped.select("key", F.struct("doc", "part", "sketch").alias("one"), F.explode(
-        F.sequence(F.col("block"), F.col("blocks") - 1)).alias("block"))
-    two = grouped.select("key", F.struct("doc", "part", "sketch").alias("two"), "block")
-    least, bands = int(np.ceil(settings.sure_below * settings.bands * settings.rows)), settings.bands
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                pair = batch.slice(k, 1)
-                found = list(set(_across(
-                    pair.column("one")[0].as_py(), pair.column("two")[0].as_py(), bands, least)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
-                    ["a", "b"])
-
-    return one.join(two, ["key", "block"]).select("one", "two").mapInArrow(run, "a long, b long").distinct()
+    blocks = F.ceil(F.col("n") / REST_BLOCK).cast("int")
+    dealt = known.join(mixed.select("family", "n"), "family").withColumn(
+        "block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda t: F.struct(
+        F.least("block", t).alias("one"), F.greatest("block", t).alias("two")))
+    rows = (
+        dealt.withColumn("pair", F.explode(pairs)).join(sketches, "doc")
+        .join(pool.withColumnRenamed("doc_id", "doc"), "doc")
+        .select("doc", "family", "part", "block", "pair.one", "pair.two", "sketch", "text"))
+    return rows.groupBy("family", "one", "two").applyInArrow(
+        lambda block: _across(block, settings), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -186,8 +200,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     1. Documents with equal sets are one class, with its smallest id.
     2. Classes that share a band form a bucket. Its leader, the class that
        meets the most others, is compared with all members on whole sets.
-    3. Buckets that this leaves in several components are searched again, in
-       blocks, for pairs across them; those are compared on whole sets, too.
+    3. Classes with similarity ``NEAR`` or more to a leader are one family. Families
+       that fall into several parts are searched again, in blocks, for links
+       between the parts, on sketches first and then on whole sets.
 
     So a group of near copies gives a star, and more only where the star falls
     apart. Documents of null, empty or blank text link with nothing. A row
@@ -216,17 +231,16 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     pool = scratch.keep(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(ranks.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), "pool")
-    links = scratch.keep(_confirm(pairs, pool, settings), "links")
+    compared = scratch.keep(_confirm(pairs, pool, settings), "compared")
+    links = compared.filter("linked").select("a", "b")
     parts = scratch.keep(components(links, scratch, "first"), "first")
-    sketches = usable.join(ranks, usable["doc_id"] == ranks["doc"], "left_semi").select(
-        F.col("doc_id").alias("doc"), "sketch")
-    more = scratch.keep(
-        _rest(members.select("key", "doc"), parts, sketches, settings)
-        .join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"),
-        "more")
-    if not more.isEmpty():
-        links = scratch.keep(_confirm(more, pool, settings).unionByName(links), "all-links")
-        parts = components(links, scratch, "last")
+    if not compared.filter("not linked").isEmpty():
+        families = components(compared.select("a", "b"), scratch, "families")
+        sketches = usable.join(ranks, usable["doc_id"] == ranks["doc"], "left_semi").select(
+            F.col("doc_id").alias("doc"), "sketch")
+        more = scratch.keep(_rest(families, parts, sketches, pool, settings), "more")
+        if not more.isEmpty():
+            parts = components(links.unionByName(more), scratch, "last")
     found = scratch.keep(
         classes.join(parts, classes["rep"] == parts["node"], "left")
         .select("set_key", F.coalesce("component", "rep").alias("component_id"), "n", "rep")
