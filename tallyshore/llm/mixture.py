@@ -23,8 +23,9 @@ def targets(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     Sources in the order of their code points, null last, weigh 1, 2, 3, 1, ...
     and share the sum of all sizes. A target stops at ``epochs`` times its
     source; what is over goes to the others by weight. Sources reach their
-    limit in the order of size per weight, so the water level is the first one
-    that the next source in that order doesn't reach. The windows hold one row
+    limit in the order of size per weight. Taking one more source to be full
+    raises the level as long as it is, and lowers it from the first one on that
+    isn't, so the water level is the highest of them. The windows hold one row
     per source.
     """
     order = Window.orderBy(F.col("source").isNull(), "source")
@@ -37,14 +38,10 @@ def targets(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     capped = F.coalesce(F.sum("source_size").over(before), F.lit(0)) * epochs
     weights = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))
     level = (total - capped).cast("double") / weights
-    steps = weighed.withColumn("level", level)
-    # the first source that stays below its limit sets the level for itself and all later ones
-    free = F.col("level") * F.col("weight") < epochs * F.col("source_size")
-    found = steps.withColumn("lowest", F.min(F.when(free, F.col("level"))).over(everything))
+    found = weighed.withColumn("level", level).withColumn("highest", F.max("level").over(everything))
     return found.select(
         "source", "source_size", "weight",
-        F.when(free, F.col("lowest") * F.col("weight"))
-        .otherwise((epochs * F.col("source_size")).cast("double")).alias("target"))
+        F.least(F.col("highest") * F.col("weight"), (epochs * F.col("source_size")).cast("double")).alias("target"))
 
 
 def draw(seed: str = "mix") -> Column:

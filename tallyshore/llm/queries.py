@@ -101,10 +101,8 @@ levels as (
   from sources
   window earlier as (order by source_size * 6 // weight, source is null, encode(source)
                      rows between unbounded preceding and 1 preceding)),
-lowest as (select *, min(level) filter (where level * weight < 3 * source_size) over () lowest from levels),
 aimed as (
-  select source, source_size, case when level * weight < 3 * source_size then lowest * weight
-         else (3 * source_size)::double end target from lowest),
+  select source, source_size, least(max(level) over () * weight, (3 * source_size)::double) target from levels),
 planned as (
   select *, round(target)::bigint words, coalesce(round(target)::bigint // nullif(source_size, 0), 0) whole from aimed),
 placed as (
