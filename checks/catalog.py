@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import standins as s
-from tallyshore.functions.columns import age_group, date_key
+from tallyshore.functions.columns import age_group, date_key, in_sample
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
 from tallyshore.plans import churn_model, marts, topic_model
 from tallyshore.schemas import COMPLAINT_COLUMNS, shop_schema
@@ -282,6 +282,27 @@ def topic_split(spark, d):
     return split.stratified_split(docs, "doc_id", "product", split.TOPIC_SHARES)
 
 
+def _keyed_lines(spark, d, *columns):
+    return s.table(spark, d, "lineitem").selectExpr("l_orderkey * 8 + l_linenumber as k", *columns)
+
+
+@query
+def tiny_sample(spark, d):
+    lines = s.table(spark, d, "lineitem")
+    return lines.filter(in_sample("42", "l_orderkey", 0.00037)).select("l_orderkey", "l_linenumber")
+
+
+@query
+def uneven_split(spark, d):
+    lines = _keyed_lines(spark, d, "l_returnflag")
+    return split.stratified_split(lines, "k", "l_returnflag", {"train": 0.9996, "test": 0.0004})
+
+
+@query
+def tiny_top_share(spark, d):
+    return split.top_share(_keyed_lines(spark, d, "l_extendedprice"), "k", "l_extendedprice", 0.0004)
+
+
 @query
 def class_weights(spark, d):
     return split.balanced_weights(s.complaints(spark, d), "product")

@@ -128,7 +128,7 @@ CTE = {
         where rn = 1""",
     "sample": """
         select complaint_id, product, state, narrative from cleaned
-        where ('0x' || substr(md5('42|' || complaint_id), 1, 8))::bigint % 10000 < 1000""",
+        where ('0x' || substr(md5('42|' || complaint_id), 1, 15))::bigint < (1::bigint << 60) // 10""",
     "stats": """
         select state, product, date_trunc('month', cast(date_received as timestamp)) as month,
                count(complaint_id) as complaint_count
@@ -353,6 +353,19 @@ _BODIES = {
                cast((select count(*) from complaints) as double)
                / ((select count(distinct product) from complaints) * count(*)) as weight
         from complaints group by product""",
+    "tiny_sample": """
+        select l_orderkey, l_linenumber from lineitem
+        where ('0x' || substr(md5('42|' || l_orderkey), 1, 15))::hugeint * 100000 < (1::hugeint << 60) * 37""",
+    "uneven_split": """
+        select k, l_returnflag, case when r <= ceil(n * 9996::decimal(19, 0) / 10000) then 'train' else 'test' end as split
+        from (select *, row_number() over (partition by l_returnflag order by md5('42|' || k)) as r,
+                     count(*) over (partition by l_returnflag) as n
+              from (select l_orderkey * 8 + l_linenumber as k, l_returnflag from lineitem))""",
+    "tiny_top_share": """
+        select k, l_extendedprice
+        from (select *, row_number() over (order by l_extendedprice desc, md5('42|' || k)) as r, count(*) over () as n
+              from (select l_orderkey * 8 + l_linenumber as k, l_extendedprice from lineitem))
+        where r <= (n * 4 + 9999) // 10000""",
     "budget_targets": """
         select user_id, state, churned, churn_probability, split
         from (select *, row_number() over (order by churn_probability desc,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,9 +22,23 @@ def stable_hash(salt: str, *keys: str | Column) -> Column:
 
 
 def in_sample(salt: str, key: str | Column, fraction: float) -> Column:
-    """True for a fixed ``fraction`` of keys, to a resolution of 1/10000."""
-    head = F.substring(stable_hash(salt, key), 1, 8)
-    return F.conv(head, 16, 10).cast("long") % 10_000 < round(fraction * 10_000)
+    """True for a fixed ``fraction`` of keys: 60 bits of the hash stay below that share of 2^60."""
+    head = F.substring(stable_hash(salt, key), 1, 15)
+    return F.conv(head, 16, 10).cast("long") < int(exact_share(fraction) * 2**60)
+
+
+def exact_share(share: float) -> Fraction:
+    """The decimal number that ``share`` is written as."""
+    found = Fraction(repr(float(share)))
+    if not 0 <= found <= 1:
+        raise ValueError(f"a share must be from 0 to 1, not {share}")
+    return found
+
+
+def rank_at(share: Fraction, count: str) -> Column:
+    """``ceil(share * count)``, in whole numbers."""
+    up, down = share.numerator, share.denominator
+    return F.expr(f"cast((cast({count} as decimal(19, 0)) * {up}BD + {down - 1}BD) div {down}BD as long)")
 
 
 def squeeze_text(text: str | Column, legacy_regex: bool = False) -> Column:
@@ -65,7 +80,7 @@ def search_tree(value: Column, bounds: Sequence) -> Column:
     log2(n) steps per row; the generated code has the same size for any n.
     """
     if not bounds:
-        return F.lit(0)
+        return F.pmod(F.hash(value), F.lit(1))  # 0, but no constant, so that it can be a join key
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     listed = F.lit(list(bounds)) if not hasattr(bounds[0], "isoformat") else F.array(*map(F.lit, bounds))
     return F.aggregate(

@@ -11,11 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyshore.operators.churn import churned_flag, cutoff_date, purchases
-from tallyshore.operators.ordered import pin_small
 from tallyshore.schemas import CANCELLED, DATASET_COLUMNS, HOME_COUNTRY, RETURNED
 
-SCOPE_ROWS = 500_000  # 4 MB of ids, well below Spark's broadcast threshold
-
 # Absence of activity means zero for these; the other features stay null.
 ZERO_FILLED = (
     "session_count", "avg_events_per_session", "cart_events", "total_spent", "items_bought",
@@ -121,20 +118,10 @@ def customer_profile(users: DataFrame) -> DataFrame:
     return users.select(F.col("id").alias("user_id"), "age", "gender", "state", "traffic_source")
 
 
-def scope_ids(users: DataFrame) -> DataFrame | None:
-    """Runs a scan for the users' ids; None if there are more than fit a broadcast."""
-    ids = users.select(F.col("id").alias("user_id"))
-    pinned = pin_small(ids, SCOPE_ROWS)
-    return None if pinned is ids else pinned
-
-
-def within_scope(facts: DataFrame, ids: DataFrame | None) -> DataFrame:
-    """Drops other users' rows before they are shuffled, while the ids are few.
-
-    With many ids a semi join would shuffle the raw facts, hot users and all; the
-    grouped aggregate first and the join on its result is cheaper then.
-    """
-    return facts if ids is None else facts.join(ids, "user_id", "left_semi")
+def within_scope(facts: DataFrame, users: DataFrame) -> DataFrame:
+    """Drops other users' rows. Catalyst broadcasts the ids by their size, and
+    adaptive execution splits a hot user where they are too many."""
+    return facts.join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi")
 
 
 def churn_dataset(
@@ -151,17 +138,16 @@ def churn_dataset(
     """One row per labeled customer in ``users``, 20 columns.
 
     The cutoff and labels use all orders, the result only the given users.
-    Runs one scan of ``orders`` for the cutoff unless it is given, and one of ``users``.
+    Runs one scan of ``orders`` for the cutoff unless it is given.
     """
     if cutoff is None:
         cutoff = cutoff_date(orders, window_days)
     if event_cutoff is None:
         event_cutoff = cutoff
-    ids = scope_ids(users)
-    spend = spend_features(within_scope(order_items, ids), products, cutoff)
-    visits = event_features(within_scope(events, ids), event_cutoff, cart_event)
+    spend = spend_features(within_scope(order_items, users), products, cutoff)
+    visits = event_features(within_scope(events, users), event_cutoff, cart_event)
     return (
-        labeled_order_features(within_scope(orders, ids), cutoff)
+        labeled_order_features(within_scope(orders, users), cutoff)
         .join(customer_profile(users), "user_id")
         .join(spend, "user_id", "left")
         .join(visits, "user_id", "left")

@@ -41,17 +41,14 @@ def pin_value(df: DataFrame) -> Column:
 
 
 def bucket_count(spark: SparkSession) -> int:
-    return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024))
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def quantile_bounds(df: DataFrame, column: str, buckets: int, one_up_to: int = 0) -> list:
-    """Runs one scan; bounds that cut ``df`` into about equal buckets.
-
-    Up to ``one_up_to`` rows need no bounds: one bucket holds them.
-    """
+def quantile_bounds(df: DataFrame, column: str, buckets: int) -> list:
+    """Runs one scan; bounds that cut ``df`` into about equal buckets."""
     shares = [i / buckets for i in range(1, buckets)]
-    rows, found = df.agg(F.count("*"), F.percentile_approx(column, shares, 10_000)).first()
-    return sorted(set(found)) if found and rows > one_up_to else []
+    (found,) = df.agg(F.percentile_approx(column, shares, max(10_000, 10 * buckets))).first()
+    return sorted(set(found)) if found else []
 
 
 def bucket_offsets(
@@ -64,10 +61,7 @@ def bucket_offsets(
     distinct values per bucket as well, and need no shuffle.
     """
     source = df if raw is None else raw
-    if buckets is None:
-        bounds = quantile_bounds(source, order_by, bucket_count(df.sparkSession), PIN_ROWS)
-    else:
-        bounds = quantile_bounds(source, order_by, buckets)
+    bounds = quantile_bounds(source, order_by, buckets or bucket_count(df.sparkSession))
     tagged = df.withColumn("_bucket", search_tree(F.col(order_by), bounds))
     keys = list(by) or [F.lit(0)]
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
@@ -120,7 +114,7 @@ def hash_cuts(
     hash_col: str,
     stratum: str,
     cuts: Mapping[str, Column],
-    digits: int = 3,
+    digits: int | None = None,
 ) -> DataFrame:
     """For each stratum and cut, the hash at that rank, in one row per stratum.
 
@@ -128,8 +122,13 @@ def hash_cuts(
     stratum). Rows are counted by hash prefix; only the one bucket that holds a
     cut is ever sorted, so a stratum with most of the rows costs no more than
     a small one. Hashes must be unique within a stratum. A rank of 0 gives null,
-    or no row if all are 0.
+    or no row if all are 0. ``digits`` of the hash make a prefix; by default so many
+    that there are about as many prefixes as rows in one.
     """
+    if digits is None:
+        rows, digits = keyed.count(), 1
+        while 16 ** (2 * digits) < rows:
+            digits += 1
     prefixed = keyed.select(
         stratum, hash_col, F.substring(hash_col, 1, digits).alias("_prefix"))
     so_far = Window.partitionBy(stratum).orderBy("_prefix").rowsBetween(

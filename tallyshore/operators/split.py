@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyshore.functions.columns import stable_hash
+from tallyshore.functions.columns import exact_share, rank_at, stable_hash
 from tallyshore.operators.ordered import bucket_offsets, hash_cuts, pin_small, pin_value
 
 SALT = "42"
@@ -24,15 +24,15 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``split``. Within each stratum, ids are ranked by hash and cut at the shares.
 
-    Part sizes are exact to one row (each cut is rounded up, to a resolution of
-    1/1000), and depend on the ids alone. Runs two small jobs for the cut points;
+    Part sizes are exact to one row (each cut is rounded up) for any shares that
+    add up to 1, and depend on the ids alone. Runs three small jobs for the cut points;
     the returned frame then compares hashes and does not shuffle the rows.
     """
     names = list(shares)
-    cuts, total = {}, 0
-    for name in names[:-1]:
-        total += round(shares[name] * 1000)
-        cuts[name] = F.expr(f"(n * {total} + 999) div 1000")
+    exact = [exact_share(shares[name]) for name in names]
+    if sum(exact) != 1:
+        raise ValueError(f"shares must add up to 1, not {float(sum(exact))}")
+    cuts = {name: rank_at(sum(exact[:i + 1]), "n") for i, name in enumerate(names[:-1])}
     hashed = df.withColumn("_hash", stable_hash(salt, id_col))
     limits = pin_small(hash_cuts(hashed.select(stratum, "_hash"), "_hash", stratum, cuts))
     limits = limits.select(F.col(stratum).alias("_stratum"),
@@ -69,7 +69,7 @@ def top_share(
     """
     counts = scored.groupBy(score).agg(F.count("*").alias("rows"))
     tagged, offsets = bucket_offsets(counts, score, ["rows"], descending=True, raw=scored)
-    wanted = F.expr(f"(all_rows * {round(share * 1000)} + 999) div 1000")
+    wanted = rank_at(exact_share(share), "all_rows")
     need = wanted - F.col("_before_rows")
     hit = pin_small(offsets.filter(need.between(1, F.col("_in_rows"))))
     upto = Window.partitionBy("_bucket").orderBy(F.desc(score)).rowsBetween(

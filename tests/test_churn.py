@@ -211,13 +211,6 @@ def test_rows_after_the_cutoff_change_no_feature(spark):
     assert {r.user_id: r.churned for r in after.collect()} == {1: 0, 2: 1}
 
 
-def test_scope_does_not_change_the_result(spark, monkeypatch):
-    pruned = sorted(dataset(spark, data(spark)).collect(), key=str)
-    monkeypatch.setattr(features, "SCOPE_ROWS", 2)  # too many users for a broadcast
-    assert features.scope_ids(data(spark)[0]) is None
-    assert sorted(dataset(spark, data(spark)).collect(), key=str) == pruned
-
-
 def test_summary(spark):
     row = features.dataset_summary(dataset(spark, data(spark))).first()
     assert (row.customers, row.churned, row.churn_rate) == (2, 2, 1.0)

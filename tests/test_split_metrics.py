@@ -37,14 +37,22 @@ def test_split_without_rows(spark):
     assert split.stratified_split(df, "id", "label").count() == 0
 
 
-@pytest.mark.parametrize("share, pin", [(0.2, 50_000), (0.5, 10), (0.1, 10), (1.0, 10)])
-def test_top_share_with_a_hot_score(spark, monkeypatch, share, pin):
-    monkeypatch.setattr(ordered, "PIN_ROWS", pin)
+def test_shares_out_of_range_are_refused(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, label string")
+    for shares in ({"train": 0.9, "test": 0.2}, {"train": 1.2, "test": -0.2}):
+        with pytest.raises(ValueError):
+            split.stratified_split(df, "id", "label", shares)
+    with pytest.raises(ValueError):
+        split.top_share(df, "id", "id", 1.5)
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.1, 1.0, 0.0004])
+def test_top_share_with_a_hot_score(spark, share):
     rng = random.Random(2)
     rows = [(i, 0.7 if i % 3 else rng.random()) for i in range(1, 400)]
     df = spark.createDataFrame(rows, "id long, p double").repartition(5)
     key = lambda r: (-r[1], hashlib.md5(f"42|{r[0]}".encode()).hexdigest())
-    want = {i for i, _ in sorted(rows, key=key)[: -(-len(rows) * round(share * 1000) // 1000)]}
+    want = {i for i, _ in sorted(rows, key=key)[: -(-len(rows) * round(share * 10_000) // 10_000)]}
     assert {r.id for r in split.top_share(df, "id", "p", share).collect()} == want
 
 
