@@ -103,14 +103,40 @@ def test_split_reader_equals_one_task_reader(spark, tmp_path, newline):
     assert len(ours) == 400 and ours == theirs
 
 
-def test_split_reader_rejects_unpaired_quotes_and_wrong_header(spark, tmp_path):
+def test_split_reader_keeps_records_with_bare_quotes(spark, tmp_path):
+    """Unquoted fields with odd and even numbers of quotes, beside quoted ones over several lines."""
+    rng, lines = random.Random(8), []
+    for i in range(200):
+        text = rng.choice(['a 5" pipe', 'a 5" by 6" pipe', 'plain', '"said ""no"",\n\nthen left"', '"x\ny ""z"""', ''])
+        fields = complaint(i, "")
+        fields = [str(f) for f in fields]
+        fields[5] = text
+        lines.append(",".join(fields))
+    path = tmp_path / "bare"
+    path.mkdir()
+    for part in range(2):
+        (path / f"{part}.csv").write_text("\n".join([",".join(HEADER), *lines[part::2]]) + "\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        split = multiline.read_complaints_split(spark, str(path), str(tmp_path / "l"))
+        ours = {r.complaint_id: r for r in split.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    theirs = {r.complaint_id: r for r in readers.read_complaints_csv(spark, str(path)).collect()}
+    assert len(ours) == 200 and ours == theirs
+
+
+def test_split_reader_rejects_open_quotes_and_wrong_headers(spark, tmp_path):
     path = tmp_path / "bad.csv"
-    path.write_text(",".join(HEADER) + "\n" + ",".join(["x"] * 5 + ['5" pipe'] + ["x"] * 10) + "\n")
+    path.write_text(",".join(HEADER) + "\n" + ",".join(["x"] * 5 + ['"pipe'] + ["x"] * 10) + "\n")
     with pytest.raises(ValueError, match="quotes"):
         multiline.read_complaints_split(spark, str(path), str(tmp_path / "l"))
-    other = write_csv(tmp_path / "other.csv", ROWS, header=["Day", *HEADER[1:]])
+    both = tmp_path / "both"
+    both.mkdir()
+    write_csv(both / "a.csv", ROWS)
+    write_csv(both / "b.csv", ROWS, header=[HEADER[1], HEADER[0], *HEADER[2:]])
     with pytest.raises(ValueError, match="header"):
-        multiline.read_complaints_split(spark, other, str(tmp_path / "l2"))
+        multiline.read_complaints_split(spark, str(both), str(tmp_path / "l2"))
 
 
 def test_unparsable_rows_are_kept_and_quarantined(spark, tmp_path):
