@@ -21,15 +21,22 @@ from tallyshore.llm.common import Scratch, components, mix, slices, span_hashes,
 
 SEEN = 1_000_000  # lines that a task remembers so as not to send them again
 FILTER_BITS = 24
+CELLS = 1 << 22  # pairs of lines whose parities a task compares at a time
 _OTHER = np.random.default_rng(7).permutation(256).astype(np.uint8)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Lines shorter than ``least`` bytes are left alone."""
+    """Lines shorter than ``least`` bytes are left alone.
+
+    ``hot``: rows of a key that one task holds; with more, they are dealt into
+    blocks of about ``block`` rows.
+    """
 
     edits: int = 2
     least: int = 24
+    hot: int = 1 << 16
+    block: int = 1 << 15
 
 
 def spans(texts: pa.Array, least: int) -> tuple[np.ndarray, ...]:
@@ -157,48 +164,95 @@ def _keys(docs: DataFrame, settings: Settings) -> DataFrame:
         run, "key long, node long, sign long, indexed boolean")
 
 
-def _meet(keys: DataFrame, settings: Settings) -> DataFrame:
+def _near(node: np.ndarray, sign: np.ndarray, left: np.ndarray, right: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Pairs ``a < b`` of two lists of places whose signs differ in ``most`` bits or fewer, some rows at a time."""
+    rows = max(1, CELLS // max(1, len(right)))
+    for start in range(0, len(left), rows):
+        own = left[start:start + rows]
+        near = np.bitwise_count((sign[own, None] ^ sign[None, right]).view(np.uint64)) <= most
+        i, j = np.nonzero(near & (node[own, None] != node[None, right]))
+        if len(i):
+            both = np.unique(np.sort(np.stack([node[own[i]], node[right[j]]]), axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+
+def _blocks(hot: DataFrame, settings: Settings) -> DataFrame:
+    """``_meet`` for the rows of keys that very many lines share: each pair of blocks of a key is a group."""
+    blocks = F.ceil(F.col("n") / settings.block).cast("int")
+    dealt = hot.join(hot.groupBy("key").agg(F.count("*").alias("n")), "key").withColumn(
+        "block", F.pmod(F.xxhash64("a"), blocks).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda t: F.struct(
+        F.least("block", t).alias("one"), F.greatest("block", t).alias("two")))
+    rows = dealt.withColumn("pair", F.explode(pairs)).select(
+        "key", "a", "sign", "indexed", "block", "pair.one", "pair.two")
+    most = 4 * settings.edits
+
+    def compare(group: pa.Table) -> pa.Table:
+        node, sign, indexed, own, one, two = (
+            group[c].to_numpy() for c in ("a", "sign", "indexed", "block", "one", "two"))
+        first, second = np.flatnonzero(own == one), np.flatnonzero(own == two)
+        sides = [(first, second)] if one[0] == two[0] else [(first, second), (second, first)]
+        found = [batch for left, right in sides for batch in _near(node, sign, left[indexed[left]], right, most)]
+        return pa.Table.from_batches(found, pa.schema({"a": pa.int64(), "b": pa.int64()}))
+
+    return rows.groupBy("key", "one", "two").applyInArrow(compare, "a long, b long")
+
+
+def _meet(keys: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
     """Pairs ``a < b`` of lines that share a key and whose parities are near enough.
 
-    Rows of a key stand together after one shuffle and a sort. A task holds one
-    key's rows at a time, 17 bytes each, and compares them in blocks.
+    Rows of a key stand together after one shuffle and a sort, and a task holds
+    one key's rows at a time. A key with more than ``hot`` rows isn't held: its rows
+    are passed on as they come, and compared in blocks by other tasks.
     """
     most = 4 * settings.edits
-
-    def pairs(nodes: np.ndarray, signs: np.ndarray, indexed: np.ndarray) -> Iterator[np.ndarray]:
-        left = np.flatnonzero(indexed)
-        for start in range(0, len(left), 256):
-            own = left[start:start + 256]
-            near = np.bitwise_count((signs[own, None] ^ signs[None, :]).view(np.uint64)) <= most
-            i, j = np.nonzero(near & (nodes[own, None] != nodes[None, :]))
-            if len(i):
-                both = np.stack([nodes[own[i]], nodes[j]])
-                yield np.unique(np.sort(both, axis=0), axis=1)
+    names = ["key", "a", "b", "sign", "indexed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
+        hot = None  # the key whose rows are passed on
 
         def out(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
             key, node, sign, indexed = (np.concatenate(x) for x in zip(*parts))
             edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
             for a, b in zip(edges[:-1][np.diff(edges) > 1], edges[1:][np.diff(edges) > 1]):
                 if (node[a:b] != node[a]).any():
-                    for found in pairs(node[a:b], sign[a:b], indexed[a:b]):
-                        yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+                    for found in _near(node[a:b], sign[a:b], np.flatnonzero(indexed[a:b]), np.arange(b - a), most):
+                        none = pa.nulls(len(found), pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [none, *found.columns, none, pa.nulls(len(found), pa.bool_())], names)
+
+        def passed(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            key, node, sign, indexed = (pa.array(c) for c in part)
+            return pa.RecordBatch.from_arrays([key, node, pa.nulls(len(key), pa.int64()), sign, indexed], names)
 
         for batch in batches:
             columns = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if hot is not None:
+                more = int(np.searchsorted(columns[0], hot, "right"))
+                yield passed(tuple(c[:more] for c in columns))
+                columns = tuple(c[more:] for c in columns)
             if not len(columns[0]):
                 continue
+            hot = None
             last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last key may go on in the next batch
             if last:
                 yield from out([*held, tuple(c[:last] for c in columns)])
                 held = []
             held.append(tuple(c[last:] for c in columns))
+            if sum(len(part[0]) for part in held) > settings.hot:
+                hot = columns[0][-1]
+                yield from map(passed, held)
+                held = []
         if held:
             yield from out(held)
 
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+    met = scratch.keep(keys.repartition("key").sortWithinPartitions("key").mapInArrow(
+        run, "key long, a long, b long, sign long, indexed boolean").distinct(), "candidates")
+    pairs, rest = met.filter("key is null").select("a", "b"), met.filter("key is not null")
+    if rest.isEmpty():
+        return pairs
+    return scratch.keep(pairs.unionByName(_blocks(rest, settings)).distinct(), "all-candidates")
 
 
 def _filter(pairs: DataFrame) -> np.ndarray:
@@ -241,7 +295,7 @@ def _texts(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
 
 def links(docs: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
     """Pairs ``a < b`` of hashes of different lines within ``edits`` of each other."""
-    pairs = scratch.keep(_meet(_keys(docs, settings), settings), "candidates")
+    pairs = _meet(_keys(docs, settings), scratch, settings)
     texts = scratch.keep(_texts(docs, pairs, settings), "texts")
     one = texts.select(F.col("node").alias("a"), F.col("line").alias("one"))
     two = texts.select(F.col("node").alias("b"), F.col("line").alias("two"))

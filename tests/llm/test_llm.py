@@ -147,7 +147,8 @@ def test_edit_distance_equals_definition():
             assert lines.edit_distance(a, b, most) == min(plain(a, b), most + 1)
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("settings", [lines.Settings(), lines.Settings(hot=3, block=4)])
+def test_lines_equal_brute_force(spark, settings):
     rng = random.Random(2)
     base = ["".join(rng.choice("abcd ef") for _ in range(rng.randint(22, 60))) for _ in range(25)]
 
@@ -166,7 +167,11 @@ def test_lines_equal_brute_force(spark):
         first.setdefault(roots[t], (i, n))
     count = {t: sum(t in link for link in links) for t in texts}
     want = {(i, n): (*first[roots[t]], count[t], first[roots[t]] == (i, n)) for i, n, t in seen}
-    rows = lines.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    if settings.hot == 3:  # keys that go on from one batch to the next
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 8)
+    rows = lines.near_duplicates(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4), settings).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert {(r[0], r[1]): tuple(r[2:]) for r in rows} == want
 
 
