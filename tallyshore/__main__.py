@@ -11,7 +11,7 @@ from tallyshore.session import get_session
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tallyshore", description=__doc__)
     parser.add_argument("job", choices=[
-        "check", "explore", "dataset", "complaints", "churn-model", "topic-model", "star",
+        "check", "check-complaints", "explore", "dataset", "complaints", "churn-model", "topic-model", "star",
         "report", "inspect", "all"])
     parser.add_argument("--raw", default="data/raw/shop", help="folder of the shop CSVs")
     parser.add_argument("--complaints", default="data/raw/complaints.csv")
@@ -34,6 +34,7 @@ def main() -> None:
 
     run = {
         "check": lambda: jobs.check_raw(spark, a.raw),
+        "check-complaints": lambda: jobs.check_complaints(spark, a.complaints),
         "explore": lambda: jobs.explore(spark, a.raw),
         "dataset": lambda: jobs.build_dataset(spark, a.raw, a.out, a.window_days),
         "complaints": lambda: jobs.prepare_complaints(

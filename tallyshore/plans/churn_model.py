@@ -132,6 +132,17 @@ class ChurnTraining:
     test: DataFrame
     test_confusion: DataFrame
 
+    def confusion(self) -> DataFrame:
+        """model, actual, predicted, rows, split: all models on validation, the chosen one on test."""
+        return self.validation_confusion.withColumn("split", F.lit("validation")).unionByName(
+            self.test_confusion.withColumn("split", F.lit("test")))
+
+    def importances(self) -> DataFrame:
+        """model, feature, importance: every feature of the tree models, whichever was chosen."""
+        return reduce(DataFrame.unionByName, [
+            feature_importances(self.models[name], self.names, len(self.names)).select(F.lit(name).alias("model"), "*")
+            for name in ("random_forest", "gradient_boosting")])
+
     def report(self) -> DataFrame:
         """Class reports of all models on validation and of the chosen one on test."""
         parts = [(self.validation_confusion, "validation"), (self.test_confusion, "test")]

@@ -51,7 +51,7 @@ def prepare_complaints(
 
 
 def train_churn_model(spark: SparkSession, out: str, models: str, **sizes: int) -> DataFrame:
-    """Trains on the written dataset; writes model, metrics and everybody's scores."""
+    """Trains on the written dataset; writes model, metrics, confusions, importances and everybody's scores."""
     dataset = spark.read.parquet(f"{out}/churn_dataset")
     run = churn_model.train_churn(dataset, **sizes)
     best = run.models[run.best]
@@ -60,6 +60,8 @@ def train_churn_model(spark: SparkSession, out: str, models: str, **sizes: int)
     writers.write_json(
         run.validation.select("*", part).unionByName(run.test.select("*", F.lit("test").alias("split"))),
         f"{models}/churn_metrics")
+    writers.write_json(run.confusion(), f"{models}/churn_confusion")
+    writers.write_json(run.importances(), f"{models}/churn_importances")
     writers.write_json(run.report(), f"{models}/churn_report")
     writers.write_parquet(churn_model.score_customers(best, run.data), f"{out}/churn_scores")
     return run.validation
@@ -137,13 +139,25 @@ def check_raw(spark: SparkSession, raw: str) -> DataFrame:
     return parts
 
 
-def inspect_models(spark: SparkSession, out: str, models: str) -> dict[str, DataFrame]:
-    """Score distributions of held-out customers, and what the topic model learned."""
+def check_complaints(spark: SparkSession, csv: str) -> dict[str, DataFrame]:
+    """Columns and types of the complaints, their rows, and those with a narrative."""
+    complaints = readers.read_complaints_csv(spark, csv)
+    columns = [(f.name, f.dataType.simpleString()) for f in complaints.schema.fields]
+    return {
+        "complaint columns": spark.createDataFrame(columns, "column_name string, type string"),
+        "complaints": audit.coverage(complaints),
+    }
+
+
+def inspect_models(spark: SparkSession, out: str, models: str, top: int = 15) -> dict[str, DataFrame]:
+    """Score distributions of held-out customers, and what the models learned."""
+    weights = spark.read.schema("model string, feature string, importance double").json(f"{models}/churn_importances")
     scores = spark.read.parquet(f"{out}/churn_scores")
     sample = spark.read.parquet(f"{out}/complaints_sample")
     return {
         "score histogram": metrics.histogram(
             metrics.held_out(scores), "churn_probability", 50, by=["churned"]),
+        "importances": weights.filter("model = 'random_forest'").orderBy(F.desc("importance"), "feature").limit(top),
         "products": audit.value_counts(sample, "product"),
         "texts": text.peek(sample),
         "terms": topic_model.top_terms(churn_model.load_model(f"{models}/topic_model")),

@@ -110,6 +110,9 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
     checked = {r.table_name: r for r in jobs.check_raw(spark, str(raw)).collect()}
     assert len(checked) == 7 and checked["users"].rows == 240
     assert all(r.missing_keys == 0 for r in checked.values())
+    load = jobs.check_complaints(spark, f"{raw}/complaints.csv")
+    assert tuple(load["complaints"].first()) == (600, 600)
+    assert load["complaint columns"].count() == len(COMPLAINT_COLUMNS)
     looks = jobs.explore(spark, str(raw))
     assert looks["rows"].count() == 7 and looks["gap percentiles"].first().p50 is not None
 
@@ -126,6 +129,14 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
     assert validation[churn_model.BASELINE].roc_auc == 0.5
     assert max(r.roc_auc for r in validation.values()) > 0.6
     scores = spark.read.parquet(f"{out}/churn_scores")
+    confusion = spark.read.json(f"{models}/churn_confusion")
+    held = dict(scores.groupBy("split").count().collect())
+    assert {(r.model, r.split): r["sum(rows)"] for r in confusion.groupBy("model", "split").sum("rows").collect()
+            if r.split == "validation"} == {(m, "validation"): held["validation"] for m in validation}
+    assert confusion.filter("split = 'test'").agg(F.sum("rows")).first()[0] == held["test"]
+    weights = spark.read.json(f"{models}/churn_importances")
+    assert weights.filter("importance < 0").isEmpty()
+    assert all(abs(total - 1) < 1e-9 for _, total in weights.groupBy("model").sum("importance").collect())
     assert scores.count() == summary.customers
     assert {r.split for r in scores.select("split").distinct().collect()} == {
         "train", "validation", "test"}
@@ -144,6 +155,7 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
     assert reports["complaints"].first().complaints == 600
     assert reports["churn by state"].count() == 5
     looks = jobs.inspect_models(spark, out, models)
+    assert 0 < looks["importances"].count() <= 15
     assert looks["terms"].count() == 2 and looks["texts"].count() == 3
     assert looks["score histogram"].agg(F.sum("rows")).first()[0] == scores.filter("split = 'test'").count()
 
