@@ -30,7 +30,7 @@ class Settings:
 
     ``sure_below``: pairs whose share of equal coordinates is lower aren't compared
     any further in the second search. For a true pair it is lower with
-    probability 1e-3 or less.
+    probability 5e-6 or less, as for the bands.
     """
 
     shingle: int = 5
@@ -43,7 +43,7 @@ class Settings:
     @property
     def sure_below(self) -> float:
         share = self.percent / 100
-        return share - 3.1 * (share * (1 - share) / (self.bands * self.rows)) ** 0.5
+        return share - 5 * (share * (1 - share) / (self.bands * self.rows)) ** 0.5
 
 
 def ring_values(settings: Settings) -> np.ndarray:
