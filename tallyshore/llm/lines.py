@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -344,12 +345,20 @@ def remove(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the lines that aren't kept, and without documents that have no text left.
 
     All columns stay; ``n_chars``, if there, follows the text. Documents that
-    have no line to lose are untouched.
+    have no line to lose are untouched. The work is linear in the lines of a text.
     """
     gone = near_duplicates(docs, settings).filter("not kept").groupBy(F.col("doc_id").alias("__of")).agg(
         F.collect_set("line_no").alias("__gone"))
-    kept = F.array_join(F.filter(
-        F.split("text", "\n"), lambda line, i: ~F.array_contains("__gone", i.cast("long"))), "\n")
+
+    def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        left = []
+        for text, numbers in zip(texts, gone):
+            drop = set() if numbers is None else set(numbers.tolist())
+            left.append(text and "\n".join(line for i, line in enumerate(text.split("\n")) if i not in drop))
+        return pd.Series(left, dtype=object)
+
+    # as nondeterministic it is worked out once, not in the filter as well
+    kept = F.pandas_udf(cut, "string").asNondeterministic()(F.when(F.col("__gone").isNotNull(), F.col("text")), "__gone")
     joined = docs.join(gone, F.col("doc_id") == F.col("__of"), "left")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)
     rest = joined.withColumn("text", text).filter("__gone is null or trim(text) <> ''")
