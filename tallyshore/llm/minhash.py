@@ -21,6 +21,7 @@ from tallyshore.llm.common import Scratch, components, mix, shingle_sets, shingl
 
 BLOCK = 256  # members a leader is compared with in one task
 REST_BLOCK = 1024  # members of a block of a family
+SALTS = 32  # tasks that the members of a family are spread over to learn its size
 NEAR = 30  # percent; two texts that link but meet in no bucket with a leader as near as this are next to impossible
 
 
@@ -182,8 +183,9 @@ def _rest(families: DataFrame, parts: DataFrame, sketches: DataFrame, pool: Data
     mixed = known.groupBy("family").agg(
         F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low <> high")
     blocks = F.ceil(F.col("n") / REST_BLOCK).cast("int")
-    dealt = known.join(mixed.select("family", "n"), "family").withColumn(
-        "block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    salted = mixed.select("family", "n", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = known.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "doc"), F.lit(SALTS)).cast("int")).join(
+        salted, ["family", "salt"]).withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda t: F.struct(
         F.least("block", t).alias("one"), F.greatest("block", t).alias("two")))
     rows = (
