@@ -4,21 +4,21 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import standins as s
-from tallyshore.functions.columns import age_group, date_key, in_sample
+from tallyshore.functions.columns import age_group, date_key, in_sample, squeeze_text
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
 from tallyshore.plans import churn_model, marts, topic_model
 from tallyshore.schemas import COMPLAINT_COLUMNS, shop_schema
 from tallyshore.session import shared_folder
 from tallyshore.sources import readers
 from tallyshore.sources.multiline import read_complaints_split
-from tallyshore.sources.writers import register, write_parquet
+from tallyshore.sources.writers import read_tables, register, write_json, write_parquet, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -217,8 +217,36 @@ def complaints_round_trip(spark, d):
     return text_dates(back.select(*source.columns))
 
 
+@query
+def served_tables(spark, d):
+    """Named tables written in order, read back and counted."""
+    names = ("nation", "customer", "orders", "lineitem")
+    folder = _folder(spark, d, "served")
+    write_tables({name: s.table(spark, d, name) for name in names}, folder)
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, df in read_tables(spark, folder, names).items()])
+
+
+@query
+def json_report(spark, d):
+    """A confusion matrix through the JSON sink."""
+    counts = metrics.confusion_counts(s.scored_documents(spark, d))
+    path = _folder(spark, d, "confusion-json")
+    write_json(counts, path)
+    return spark.read.schema(counts.schema).json(path)
+
+
 # --- texts ------------------------------------------------------------------
 
+@query
+def redacted_texts(spark, d):
+    """Whole texts with redaction blocks, digits and slashes behind them, put in and tidied away."""
+    marked = F.replace("text", F.lit("e "), F.lit("XXXX12/3 "))
+    return s.table(spark, d, "documents").select("doc_id", squeeze_text(marked).alias("narrative"))
+
+
+
 def cleaned(spark, d):
     return text.clean_complaints(s.complaints(spark, d))
 
@@ -332,6 +360,22 @@ def baseline_metrics(spark, d):
     return metrics.ranking_metrics(constant)
 
 
+@query
+def baseline_predictions(spark, d):
+    """The model that always says churn, by the same path as the fitted ones."""
+    held = metrics.held_out(s.scores(spark, d, churn.cutoff_date(s.orders(spark, d))), "validation")
+    guesses = churn_model.predict(None, churn_model.BASELINE, held)
+    return metrics.ranking_metrics(guesses, by=["model"])
+
+
+@query
+def best_language(spark, d):
+    """The language whose scores rank best, English left out as the baseline."""
+    languages = s.table(spark, d, "documents").select("doc_id", F.col("lang").alias("model"))
+    scored = s.scored_documents(spark, d).join(languages, "doc_id")
+    return metrics.best_model(metrics.ranking_metrics(scored, by=["model"]), "en")
+
+
 @query
 def confusion_matrix(spark, d):
     return metrics.confusion_counts(s.scored_documents(spark, d))

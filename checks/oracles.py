@@ -375,6 +375,21 @@ _BODIES = {
     "ranking_metrics_by_split": _ranking("scores", "churned", "churn_probability", "split"),
     "baseline_metrics": """
         select 0.5::double as roc_auc, round(avg(label), 4) as pr_auc from scored_documents""",
+    "baseline_predictions": """
+        select 'always_churn_baseline' as model, 0.5::double as roc_auc, round(avg(churned), 4) as pr_auc
+        from scores where split = 'validation'""",
+    "best_language": "select * from (" + _ranking(
+        "(select s.*, lang as model from scored_documents s join documents using (doc_id))",
+        "label", "probability", "model") + """)
+        where model <> 'en' order by nullif(roc_auc, 'nan'::double) desc nulls last, model limit 1""",
+    "served_tables": " union all ".join(
+        f"select '{t}' as table_name, count(*) as rows from {t}" for t in ("nation", "customer", "orders", "lineitem")),
+    "json_report": """
+        select label as actual, prediction as predicted, count(*) as rows
+        from scored_documents group by all""",
+    "redacted_texts": rf"""
+        select doc_id, regexp_replace(regexp_replace(replace(text, 'e ', 'XXXX12/3 '),
+            'X{{2,}}[\d/]*', ' ', 'g'), '{_SPACE}', ' ', 'g') as narrative from documents""",
     "confusion_matrix": """
         select label as actual, prediction as predicted, count(*) as rows
         from scored_documents group by all""",
