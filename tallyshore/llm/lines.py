@@ -28,7 +28,7 @@ _OTHER = np.random.default_rng(7).permutation(256).astype(np.uint8)
 
 @dataclass(frozen=True)
 class Settings:
-    """Lines shorter than ``least`` bytes are left alone.
+    """Lines shorter than ``least`` bytes have no rows; those shorter than ``near`` are alike only if they are equal.
 
     ``hot``: rows of a key that one task holds; with more, they are dealt into
     blocks of about ``block`` rows.
@@ -36,9 +36,21 @@ class Settings:
 
     edits: int = 2
     least: int = 24
+    near: int = 1
     hot: int = 1 << 16
     block: int = 1 << 15
 
+    @property
+    def joined(self) -> int:
+        """The least length of lines that are compared with others; one that the edits can wholly replace, too."""
+        return max(1, self.least, self.near)
+
+
+#: Every line that isn't empty, and every pair of lines.
+ALL = Settings(least=1)
+#: What texts lose: lines of 24 bytes that are near an earlier one, shorter ones only if an earlier one is equal.
+LOST = Settings(least=1, near=24)
+
 
 def spans(texts: pa.Array, least: int) -> tuple[np.ndarray, ...]:
     """Bytes, starts and ends of the lines of at least ``least`` bytes, their texts and numbers in them."""
@@ -82,7 +94,7 @@ def lookups(length: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray
             high = min(i, gap + (edits - i))
             for shift in range(low, high + 1):
                 place = start + shift
-                ok = np.flatnonzero((place >= 0) & (place + size <= length) & (shorter >= settings.least))
+                ok = np.flatnonzero((place >= 0) & (place + size <= length) & (shorter >= settings.joined))
                 yield ok, shorter[ok], i, place[ok], size[ok], gap == 0 and shift == 0
 
 
@@ -122,7 +134,7 @@ def edit_distance(a: bytes, b: bytes, most: int) -> int:
 
 
 def occurrences(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, line_no, node, other``: the long lines of each text, with two hashes."""
+    """``doc_id, line_no, node, other``: the lines of each text, with two hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -143,7 +155,7 @@ def _keys(docs: DataFrame, settings: Settings) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch):
-                data, starts, stops, *_ = spans(part.column("text"), settings.least)
+                data, starts, stops, *_ = spans(part.column("text"), settings.joined)
                 nodes = span_hashes(data, starts, stops)
                 first = np.sort(np.unique(nodes, return_index=True)[1])
                 fresh = np.array([i for i in first if int(nodes[i]) not in seen], np.int64)
@@ -277,7 +289,7 @@ def _texts(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
         bits, seen = sent.value, set()
         for batch in batches:
             for part in slices(batch):
-                data, starts, stops, *_ = spans(part.column("text"), settings.least)
+                data, starts, stops, *_ = spans(part.column("text"), settings.joined)
                 nodes = span_hashes(data, starts, stops)
                 place = (nodes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 found = []
@@ -312,12 +324,12 @@ def links(docs: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, line_no, class_doc_id, class_line_no, n_links, kept`` for every long line.
+    """``doc_id, line_no, class_doc_id, class_line_no, n_links, kept`` for every line of ``least`` bytes.
 
     Lines are numbered from 0 within their text. Equal lines and lines that are
     linked, directly or by others, are one class, named by its first line in
     the order of doc_id and line_no, which is kept. ``n_links`` counts the different
-    lines within ``edits`` of the line. Shorter lines, null texts and
+    lines within ``edits`` of the line. Empty and shorter lines, null texts and
     documents without id have no rows; rows that repeat an id are one document.
     """
     scratch = Scratch(docs.sparkSession, "lines")
@@ -341,9 +353,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         (F.col("first") == F.struct("doc_id", "line_no")).alias("kept"))
 
 
-def remove(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def remove(docs: DataFrame, settings: Settings = LOST) -> DataFrame:
     """``docs`` without the lines that aren't kept, and without documents that have no text left.
 
+    Short lines are within two edits of very many others, so of those below ``near``
+    bytes only equal ones are removed; if they are white space, they stay as empty lines do.
     All columns stay; ``n_chars``, if there, follows the text. Documents that
     have no line to lose are untouched. The work is linear in the lines of a text.
     """
@@ -354,7 +368,9 @@ def remove(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         left = []
         for text, numbers in zip(texts, gone):
             drop = set() if numbers is None else set(numbers.tolist())
-            left.append(text and "\n".join(line for i, line in enumerate(text.split("\n")) if i not in drop))
+            left.append(text and "\n".join(
+                line for i, line in enumerate(text.split("\n"))
+                if i not in drop or len(line.encode()) < settings.near and not line.strip()))
         return pd.Series(left, dtype=object)
 
     # as nondeterministic it is worked out once, not in the filter as well

@@ -30,7 +30,7 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.near_duplicates(table(spark, folder, "documents"))
+    return lines.near_duplicates(table(spark, folder, "documents"), lines.ALL)
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -175,6 +175,37 @@ def test_lines_equal_brute_force(spark, settings):
     assert {(r[0], r[1]): tuple(r[2:]) for r in rows} == want
 
 
+@pytest.mark.parametrize("settings", [lines.ALL, lines.Settings(least=1, hot=3, block=4)])
+def test_short_lines_equal_brute_force(spark, settings):
+    rng = random.Random(12)
+    docs = [(i, "\n".join("".join(rng.choice("abcdefghijé") for _ in range(rng.choice([0, 1, 2, 3, 4, 7, 8, 9, 12, 23, 24])))
+                          for _ in range(rng.randint(0, 4)))) for i in range(60)]
+    docs += [(i + 60, f"{text[:-1]}x") for i, text in docs if len(text) > 5]
+    seen = sorted((i, n, t) for i, text in docs for n, t in enumerate(text.split("\n")) if t)
+    texts = sorted({t for *_, t in seen})
+    links = [(a, b) for a in texts for b in texts if a < b and lines.edit_distance(a.encode(), b.encode(), 2) <= 2]
+    roots, first = _roots(texts, links), {}
+    for i, n, t in seen:
+        first.setdefault(roots[t], (i, n))
+    count = {t: sum(t in link for link in links) for t in texts}
+    rows = lines.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), settings).collect()
+    assert {(r[0], r[1]): tuple(r[2:]) for r in rows} == {
+        (i, n): (*first[roots[t]], count[t], first[roots[t]] == (i, n)) for i, n, t in seen}
+
+
+def test_query_has_every_line(spark):
+    texts = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    want = sorted((r[0], n) for r in texts for n, line in enumerate((r[1] or "").split("\n")) if line)
+    assert sorted((r.doc_id, r.line_no) for r in CATALOG["op4_line_dedup"](spark, FOLDER).collect()) == want
+
+
+def test_short_lines_are_removed_if_equal(spark):
+    docs = [(1, "All rights reserved.\n\r\nLes.\nthe cat"), (2, "\r\nAll rights reserved.\nLet.\nthe cap"),
+            (3, "Les.\nAll rights reserved."), (4, "one\nLes.\n\ntwo")]
+    rest = lines.remove(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in rest} == {1: docs[0][1], 2: "\r\nLet.\nthe cap", 4: "one\n\ntwo"}
+
+
 def test_lines_odd_rows(odd, none):
     rows = {tuple(r) for r in lines.near_duplicates(odd).collect() if r.doc_id == 8}
     assert rows == {(8, 0, 8, 0, 1, True), (8, 1, 8, 0, 1, False), (8, 2, 8, 0, 1, False)}
