@@ -27,6 +27,7 @@ TEMPLATES = (
     ("cc0", "waived copyright related neighboring rights cc0 public domain dedication"),
 )
 THRESHOLD = 0.8
+REACH = 3  # a notice that is spread over lines has its words within so many times the words of its template
 
 
 def words(text: Column) -> Column:
@@ -59,8 +60,11 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
          threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every row.
 
-    Base labels come from the phrases. Further ones come from text blocks, the
-    lines, that hold at least ``threshold`` of the words of a template. Words are
+    Base labels come from the phrases. Further ones come from text blocks that
+    hold at least ``threshold`` of the words of a template. Blocks are the lines,
+    and for wrapped notices all runs of ``REACH`` times a template's words, wherever
+    lines end. The text is cut into overlapping pieces that hold every such
+    run whole, and the best run is looked for in the pieces that meet a template. Words are
     ordered by how many blocks hold them, rare ones first. A block with enough
     of a template's words has one of its first size - need + 1 words, so blocks and
     templates meet in an equi-join on those; a block with too few words, or
@@ -86,15 +90,36 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
         maybe = maybe | F.contains(text, F.lit(end))
     # as a lambda's argument the words are worked out once, not for each place
     base = F.get(F.transform(F.array(words(text)), lambda found: phrase_starts(found, phrases)), F.lit(0))
+    half = REACH * max((len(ws) for _, _, ws in sets), default=1)  # a piece has twice as many words
+    least = min((math.ceil(threshold * len(ws)) for _, _, ws in sets), default=1)
+
+    def pieces(found: Column) -> Column:
+        cut = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0)), F.lit(half)),
+            lambda start: F.slice(found, start + 1, 2 * half))
+        cut = F.filter(cut, lambda w: F.size(F.array_intersect(w, listed)) >= least)
+        return F.transform(cut, lambda w: F.filter(
+            F.transform(w, lambda token, at: F.struct(at.alias("at"), token.alias("token"))),
+            lambda h: h["token"].isin(vocabulary)))
+
+    def parts(lines: Column) -> Column:
+        several = F.size(F.filter(lines, lambda w: F.size(w) > 0)) > 1
+        return F.struct(
+            F.transform(lines, lambda w: F.struct(
+                F.size(w).alias("n"), F.array_intersect(w, listed).alias("tokens"))).alias("lines"),
+            F.when(several, F.get(F.transform(F.array(F.flatten(lines)), pieces), F.lit(0))).alias("pieces"))
+
     rows = docs.select("doc_id", F.when(maybe, base).alias("base"),
-                       F.transform(split, lambda w: F.struct(
-                           F.size(w).alias("n"), F.array_intersect(w, listed).alias("tokens"))).alias("lines"))
+                       F.get(F.transform(F.array(split), parts), F.lit(0)).alias("parts"))
     rows = scratch.keep(rows.select(
-        "doc_id", F.aggregate("lines", F.lit(0).cast("long"), lambda s, b: s + b["n"]).alias("n_words"),
+        "doc_id", F.aggregate("parts.lines", F.lit(0).cast("long"), lambda s, b: s + b["n"]).alias("n_words"),
         F.coalesce("base", F.expr("array()").cast("array<struct<start:bigint,label:string>>")).alias("base"),
-        F.filter(F.transform("lines", lambda b: b["tokens"]), lambda t: F.size(t) > 0).alias("blocks")), "rows")
+        F.filter(F.transform("parts.lines", lambda b: b["tokens"]), lambda t: F.size(t) > 0).alias("blocks"),
+        F.col("parts.pieces").alias("pieces")), "rows")
 
-    blocks = rows.select("doc_id", F.posexplode("blocks").alias("block", "tokens"))
+    blocks = rows.select("doc_id", F.explode("blocks").alias("tokens"))
+    wrapped = rows.select("doc_id", F.explode("pieces").alias("found")).select(
+        "doc_id", F.array_distinct(F.transform("found", lambda h: h["token"])).alias("tokens"), "found")
     counts = {r[0]: r[1] for r in blocks.select(F.explode("tokens").alias("token")).groupBy("token").count().collect()}
     ordered = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))  # of the templates' words only
     rank = {w: i for i, w in enumerate(ordered)}
@@ -109,11 +134,19 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     sorted_tokens = F.transform(
         F.array_sort(F.transform("tokens", lambda t: F.struct(F.get(F.map_values(F.map_filter(
             ranks, lambda k, _: k == t)), F.lit(0)).alias("rank"), t.alias("token")))), lambda s: s["token"])
-    least = min((need for *_, need, _ in index), default=1)
-    probes = blocks.filter(F.size("tokens") >= least).select(
-        "doc_id", "block", sorted_tokens.alias("tokens")).select(
-        "doc_id", "block", "tokens", F.posexplode("tokens").alias("at", "token"))
-    share = F.size(F.array_intersect("tokens", "words")) / F.size("words")
+    probes = blocks.withColumn("found", F.lit(None).cast(wrapped.schema["found"].dataType)).unionByName(wrapped).filter(
+        F.size("tokens") >= least).select("doc_id", sorted_tokens.alias("tokens"), "found").select(
+        "doc_id", "tokens", "found", F.posexplode("tokens").alias("at", "token"))
+
+    def best(own: Column) -> Column:
+        """The most different words in a run, of those words of a piece that a template has."""
+        return F.array_max(F.transform(own, lambda first: F.size(F.array_distinct(F.transform(
+            F.filter(own, lambda h: (h["at"] >= first["at"]) & (h["at"] < first["at"] + REACH * F.size("words"))),
+            lambda h: h["token"])))))
+
+    held = F.when(F.col("found").isNull(), F.size(F.array_intersect("tokens", "words"))).otherwise(
+        best(F.filter("found", lambda h: F.array_contains("words", h["token"]))))
+    share = held / F.size("words")
     candidates = (
         probes.join(prefixes, "token")
         .filter((F.size("tokens") >= F.col("need"))

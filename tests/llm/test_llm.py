@@ -255,6 +255,23 @@ def test_licenses_odd_rows(odd, none):
     assert licenses.scan(odd).count() == len(ODD) and licenses.scan(none).collect() == []
 
 
+def test_wrapped_licenses(spark):
+    mit = ("# Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "# of this software and associated documentation files")
+    bsd = "Redistribution and use in source\n\nand binary forms, with or without modification, are permitted\nprovided that these conditions are met"
+    gpl = ("This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU General\n"
+           "Public\nLicense as published by the Free Software\nFoundation")
+    far = "released" + "\nword" * 8 + " mit\nlicence license"
+    docs = [(3 * n + k, "word word\n" * n + text + "\nword" * (n % 5))
+            for n in range(0, 80, 7) for k, text in enumerate((mit, bsd, far))]
+    docs += [(900, gpl), (901, "released by us\nunder mit, a\nfree license"), (902, None), (903, mit.replace("\n#", ""))]
+    rows = {r.doc_id: (r.labels, r.score) for r in licenses.scan(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, _ in docs[:-4]:
+        assert rows[i] == [("mit", 1.0), ("bsd", 1.0), ("", 0.0)][i % 3]
+    assert (rows[900][0], rows[901], rows[902], rows[903]) == ("gpl", ("mit", 1.0), ("", 0.0), ("mit", 1.0))
+
+
 def test_embeddings_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 16))
