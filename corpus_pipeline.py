@@ -38,8 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents as often as the mixture takes them."""
-    return mixture.materialize(docs)
+    """Whole documents as often as the mixture takes them, the one at a source's fraction if half of it is wanted."""
+    return mixture.materialize(docs, whole=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

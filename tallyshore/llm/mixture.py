@@ -125,23 +125,27 @@ def mix(docs: DataFrame, epochs: int = EPOCHS, seed: str = "mix") -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def materialize(docs: DataFrame, epochs: int = EPOCHS, seed: str = "mix") -> DataFrame:
+def materialize(docs: DataFrame, epochs: int = EPOCHS, seed: str = "mix", whole: bool = False) -> DataFrame:
     """The mixed documents themselves, with the columns of ``docs``.
 
     A document stands once per whole repetition. A fractional one has the first
-    ``taken mod size`` words of the text, joined by single spaces. ``n_chars``,
-    if there, follows the text.
+    ``taken mod size`` words of the text, joined by single spaces. With ``whole`` no
+    text is cut: it stands once more if at least half of it is wanted, so that a
+    source misses its target by half a document at most. ``n_chars``, if
+    there, follows the text.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     rows = scratch.keep(sized(docs, seed), "sizes")
     keyed = docs.select(
         "source", word_count("text").alias("size"), draw(seed).alias("draw"), F.struct("*").alias("doc"))
-    taken = take(keyed, plan(rows, scratch, epochs)).withColumn(
-        "copies", F.ceil(F.col("taken") / F.nullif(F.col("size"), F.lit(0))))
-    each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).filter("taken > 0")
+    more = F.when(F.col("draw") < F.col("cut"), 1).when(
+        (F.col("draw") == F.col("cut")) & (2 * F.col("part") >= F.col("cut_size")), 1).otherwise(0)
+    copies = F.col("whole") + more if whole else F.ceil(F.col("taken") / F.nullif(F.col("size"), F.lit(0)))
+    taken = take(keyed, plan(rows, scratch, epochs)).filter("size > 0").withColumn("copies", copies).filter("copies > 0")
+    each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
     words = F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), 0)
-    text = F.when(left >= F.col("size"), F.col("doc.text")).otherwise(
+    text = F.col("doc.text") if whole else F.when(left >= F.col("size"), F.col("doc.text")).otherwise(
         F.array_join(F.slice(words, 1, left.cast("int")), " "))
     columns = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": text}
     if "n_chars" in columns:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -248,6 +249,20 @@ def test_mixture_fills_like_water(spark, odd, none):
     assert made.columns == odd.columns and words == sum(r.taken for r in mixture.mix(odd).collect())
 
 
+def test_mixture_of_whole_texts(spark):
+    rng = random.Random(15)
+    docs = [(i, "\n".join(f"w{i}  x" for _ in range(rng.randint(0, 30))), f"s{i % 5}") for i in range(200) if i % 5 < 2 or i < 60]
+    rows = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    want, cut = {}, 0
+    for r in mixture.mix(rows).collect():
+        part = r.taken % r.size if r.size else 0
+        cut += part > 0
+        want[r.doc_id] = r.taken // r.size + (2 * part >= r.size) if r.size else 0
+    got = corpus_pipeline.mix_sources(spark, rows, FOLDER).collect()
+    assert cut > 0 and {i: n for i, n in want.items() if n} == dict(Counter(r.doc_id for r in got))
+    assert {(r.doc_id, r.text) for r in got} <= {(i, text) for i, text, _ in docs}
+
+
 def test_licenses_odd_rows(odd, none):
     rows = {r.doc_id: r for r in licenses.scan(odd).collect()}
     assert (rows[7].n_base, rows[7].first_word, rows[7].last_word, rows[7].base_labels) == (2, 3, 7, "gpl,mit")
