@@ -99,9 +99,9 @@ def minimize(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tupl
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", bound: int = SAMPLE) -> Model:
     """Learns from trusted positives and unlabelled documents, about ``bound`` of either.
 
-    Positives have label 1 in the learning fold. Unlabelled are documents
-    without any label, or all documents if there are none. The class prior is
-    the share of label 1 in the learning fold, which is what unlabelled documents
+    Positives have label 1 in the learning fold. The unlabelled sample is drawn
+    from all documents, whatever labels they have. The class prior is
+    the share of label 1 in the learning fold, which is what all documents
     hold if labels were given at random; negatives serve for nothing else.
     Only the features of the bounded sample reach the driver.
     """
@@ -110,10 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", bound: int
     known = learning.agg(F.count("*"), F.sum("label")).first()
     prior = min(0.98, max(0.02, (known[1] or 0) / known[0])) if known[0] else 0.5
     ids = docs.select("doc_id").filter("doc_id is not null").distinct()
-    free = ids.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
-    others = scratch.keep(thin(free, bound, "free"), "free")
-    if others.isEmpty():
-        others = scratch.keep(thin(ids, bound, "all"), "all")
+    others = scratch.keep(thin(ids, bound, "all"), "all")
     kinds = scratch.keep(
         thin(learning.filter("label = 1").select("doc_id"), bound, "positive").withColumn("kind", F.lit(1))
         .unionByName(others.withColumn("kind", F.lit(0))), "kinds")  # about 2 * bound rows of 12 bytes

@@ -340,6 +340,18 @@ def test_classifiers(spark, odd, none, module, column, least):
     assert {r.score for r in module.score(odd, blank).collect()} == {0.5}
 
 
+def test_quality_hardly_depends_on_few_unlabelled_documents(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    ids = sorted(r[0] for r in docs.select("doc_id").collect())
+    labels = [(i, i % 2) for i in ids]
+    # with each document labelled, and with all but one
+    models = [quality.fit(docs, spark.createDataFrame(
+        [r for r in labels if r[0] != left], "doc_id long, quality int"))
+        for left in (None, next(i for i in ids if not _held_out(i) and i % 2 == 0))]
+    for name in ("center", "spread"):
+        assert np.allclose(*(getattr(m, name) for m in models))
+
+
 @pytest.fixture(scope="module")
 def encoder():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
