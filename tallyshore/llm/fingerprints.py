@@ -199,7 +199,7 @@ def with_following(docs: DataFrame) -> DataFrame:
     before = [b for b, _ in tops[-1:] + tops[:-1]]
     guests = spark.createDataFrame(
         [(b, t, to) for (b, t), to in zip(tops, before)], "bucket int, top long, before int")
-    invited = tagged.join(guests, "bucket").filter(F.col("doc_id").eqNullSafe(F.col("top"))).select(
+    invited = tagged.join(F.broadcast(guests), "bucket")  # one row a bucket at most.filter(F.col("doc_id").eqNullSafe(F.col("top"))).select(
         "doc_id", "text", F.col("before").alias("bucket"), F.lit(True).alias("guest"))
     return (
         tagged.withColumn("guest", F.lit(False)).unionByName(invited).repartition("bucket")
