@@ -11,10 +11,13 @@ old ones again.
 from __future__ import annotations
 
 import base64
-import os
+import gc
+import hashlib
 import re
+import sys
+import types
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -22,8 +25,9 @@ from pyspark.sql import DataFrame
 
 from tallyshore.llm.common import SLICE_BYTES, slices
 
-PIECES_KEPT, PAIRS_KEPT = 150_000, 200_000  # entries of a worker's caches, then they start anew
+PIECES_KEPT, PAIRS_KEPT = 300_000, 500_000  # entries of a worker's caches; beyond them the oldest half goes
 NEVER = 1 << 60
+_RANK_BITS, RANK = 32, 256
 # The common pattern, and its equal for texts of ASCII and Latin letters only, in the
 # standard library's faster terms.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -37,13 +41,27 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in lines}
 
 
+def _thin(kept: dict, most: int) -> None:
+    """Forgets the older half of a cache that is full; what is asked for again is worked out again."""
+    if len(kept) >= most:
+        for key in list(islice(kept, len(kept) // 2)):
+            del kept[key]
+
+
 class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._edges: tuple[dict, dict] = {}, {}
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        #: the tokens read from the end: by byte, and the rank under RANK where one is complete
+        self.endings: dict = {}
+        for token, rank in ranks.items():
+            node = self.endings
+            for byte in reversed(token):
+                node = node.setdefault(byte, {})
+            node[RANK] = rank
 
     def merge(self, piece: bytes, down_to: int = 1) -> list[bytes]:
         """The definition: join the neighbors of lowest rank, first ones first, while any join is a token."""
@@ -71,13 +89,13 @@ class Vocabulary:
                     *inner[:-1], (parts[-side], self.ranks[token]), (token, NEVER)]
         return known[token]
 
-    def fits(self, a: bytes, b: bytes) -> bool:
-        """Whether b may follow a."""
-        found = self._pairs.get((a, b))
+    def fits(self, a: int, b: int) -> bool:
+        """Whether the token of rank b may follow that of rank a."""
+        pair = a << _RANK_BITS | b
+        found = self._pairs.get(pair)
         if found is None:
-            if len(self._pairs) >= PAIRS_KEPT:
-                self._pairs.clear()
-            found = self._pairs[a, b] = self._stay_apart(a, b)
+            _thin(self._pairs, PAIRS_KEPT)
+            found = self._pairs[pair] = self._stay_apart(self.tokens[a], self.tokens[b])
         return found
 
     def _stay_apart(self, a: bytes, b: bytes) -> bool:
@@ -100,25 +118,41 @@ class Vocabulary:
 
 
 class PrefixTable:
-    """The last token of every prefix of ``data``; ``last[0]`` stands for the empty one."""
+    """The rank of the last token of every prefix of ``data``; ``last[0]``, for the empty one, is -1."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", [b""]
+        self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
-    def _row(self, i: int) -> bytes:
+    def extend(self, size: int) -> None:
+        """Works out the rows up to the prefix of ``size`` bytes, each from the tokens that can end it."""
         v, data, last = self.vocabulary, self.data, self.last
-        for j in range(max(0, i - v.longest), i):
-            token = data[j:i]
-            if token in v.ranks and (v.fits(last[j], token) if j else v.edges(token, 0)):
-                return token
-        raise ValueError(f"no token ends the first {i} bytes; the ranks lack a byte")
+        endings, pairs, fits = v.endings, v._pairs, v.fits
+        for i in range(len(last), size + 1):
+            node, j, found = endings, i, []
+            while j:
+                node = node.get(data[j - 1])
+                if node is None:
+                    break
+                j -= 1
+                if RANK in node:
+                    found.append((j, node[RANK]))
+            for j, rank in reversed(found):  # the longest first
+                if j:
+                    fit = pairs.get(last[j] << _RANK_BITS | rank)
+                    if fit is None:
+                        fit = fits(last[j], rank)
+                else:
+                    fit = v.edges(data[:i], 0)
+                if fit:
+                    last.append(rank)
+                    break
+            else:
+                raise ValueError(f"no token ends the first {i} bytes; the ranks lack a byte")
 
     def append(self, more: bytes) -> None:
-        start = len(self.data) + 1
         self.data += more
-        for i in range(start, len(self.data) + 1):
-            self.last.append(self._row(i))
+        self.extend(len(self.data))
 
     def cut(self, size: int) -> None:
         """Keeps the first ``size`` bytes."""
@@ -138,7 +172,7 @@ class PrefixTable:
         self.last = old_last[:start + 1]
         same = worked = 0
         for i in range(start + 1, len(self.data) + 1):
-            self.last.append(self._row(i))
+            self.extend(i)
             worked += 1
             same = same + 1 if i - shift > end and self.last[i] == old_last[i - shift] else 0
             if same >= self.vocabulary.longest and i - shift - same >= end:
@@ -148,10 +182,10 @@ class PrefixTable:
 
     def tokens(self, size: int | None = None) -> list[int]:
         """Encoding of the whole, or of the first ``size`` bytes."""
-        i, found = len(self.data) if size is None else size, []
+        i, found, last, token = len(self.data) if size is None else size, [], self.last, self.vocabulary.tokens
         while i:
-            found.append(self.vocabulary.ranks[self.last[i]])
-            i -= len(self.last[i])
+            found.append(last[i])
+            i -= len(token[last[i]])
         return found[::-1]
 
 
@@ -168,30 +202,51 @@ class Encoder:
 
     def learn(self, pieces: set[str]) -> None:
         """Encodes new pieces in byte order: each keeps the rows of the prefix it shares with the last."""
-        ranks, table = self.vocabulary.ranks, PrefixTable(self.vocabulary)
-        for data, piece in sorted((p.encode(), p) for p in pieces):
-            if data in ranks:  # a match that is a token is that token
-                self._pieces[piece] = (ranks[data],)
+        ranks, table, known = self.vocabulary.ranks, PrefixTable(self.vocabulary), self._pieces
+        last, before = table.last, b""
+        for data, piece in sorted([(p.encode(), p) for p in pieces]):
+            rank = ranks.get(data)
+            if rank is not None:  # a match that is a token is that token
+                known[piece] = (rank,)
                 continue
-            table.cut(len(os.path.commonprefix((table.data, data))))
-            table.append(data[len(table.data):])
-            self._pieces[piece] = tuple(table.tokens())
+            same, most = 0, min(len(before), len(data))
+            while same < most and before[same] == data[same]:
+                same += 1
+            del last[same + 1:]
+            table.data = before = data
+            table.extend(len(data))
+            known[piece] = tuple(table.tokens())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text; what all its pieces need is worked out once a call."""
         parts = [self.split(text) for text in texts]
-        new = set().union(*parts).difference(self._pieces)
-        if len(self._pieces) + len(new) > PIECES_KEPT:
-            self._pieces, old = {}, self._pieces
-            self._pieces = {p: old[p] for p in set().union(*parts).difference(new)}
-        self.learn(new)
-        known = self._pieces
-        return [list(chain.from_iterable([known[p] for p in part])) for part in parts]
+        needed = set().union(*parts)
+        if len(self._pieces) + len(needed) > PIECES_KEPT:  # the oldest go, but none of these
+            old = self._pieces
+            self._pieces = dict(islice(old.items(), len(old) // 2, None))
+            self._pieces.update((p, old[p]) for p in needed if p in old)
+        self.learn(needed.difference(self._pieces))
+        known = self._pieces.__getitem__
+        return [list(chain.from_iterable(map(known, part))) for part in parts]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
 
+def worker_kept(key: tuple, build):
+    """What ``build`` returns, kept for the life of a Python worker and shared by its tasks.
+
+    Functions are sent to workers by value, each time with new globals, so it is
+    kept beside the modules, of one kind at a time.
+    """
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if key not in kept:
+        for other in [k for k in kept if isinstance(k, tuple) and k[0] == key[0]]:
+            del kept[other]
+        kept[key] = build()
+    return kept[key]
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, decode: bool = False,
                      keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Adds ``token_ids`` to the columns of ``keep``, and ``decoded``, the bytes of the ids, if asked.
@@ -200,16 +255,19 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, decode: boo
     are left out, and a null or empty text has no ids. Ids are those of the
     merge rule, and a piece without white space of any length takes time in
     proportion to it. The ranks, a file of fixed size, are read on the driver
-    and sent to the executors. Works without a shuffle.
+    and sent to the executors. A worker keeps vocabulary and pieces for its life. Works
+    without a shuffle.
     """
     with open(ranks_path, "rb") as file:
-        sent = docs.sparkSession.sparkContext.broadcast(file.read())
+        data = file.read()
+    sent, digest = docs.sparkSession.sparkContext.broadcast(data), hashlib.sha256(data).hexdigest()
     kept = docs.select(*keep, "text")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
     schema = ", ".join(fields + ["token_ids array<int>"] + ["decoded binary"] * decode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(parse_ranks(sent.value), pattern)
+        gc.disable()  # caches of many small objects and no cycles: looking for some takes a third of the time
+        encoder = worker_kept(("bpe", digest, pattern), lambda: Encoder(parse_ranks(sent.value), pattern))
         for batch in batches:
             for part in slices(batch, most=4 * SLICE_BYTES):
                 ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
