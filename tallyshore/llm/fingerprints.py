@@ -84,14 +84,16 @@ def packed(number: np.ndarray, total: np.ndarray) -> list[str]:
     return [base64.b64encode(row.tobytes()).decode() for row in np.concatenate(both, axis=1)]
 
 
-def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Digests that each table of a difference held, as counts, and whether that emptied it.
+def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray,
+         seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The digests that tables of differences held, the table and side of each, and which tables that emptied.
 
-    The tables stand one behind the other in ``number`` and ``total``, which are used up.
+    The tables stand one behind the other in ``number`` and ``total``, which are used up. The side is
+    1 for a digest of the text that was added, -1 for one of the text that was subtracted.
     """
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     table = np.repeat(np.arange(len(sizes)), sizes)
-    found = np.zeros(len(sizes), np.int64)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     look = np.arange(len(number))
     while len(look):
         look = look[np.abs(number[look]) == 1]
@@ -107,7 +109,7 @@ def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray, seed: int) ->
         cells = _cells(keys, sizes[own], begins[own], seed)
         right = np.any([cell == look for cell in cells], axis=0)
         own, sign, keys = own[right], sign[right], keys[right]
-        np.add.at(found, own, 1)
+        found.append((keys, own, sign))
         touched = []
         for cell in cells:
             np.subtract.at(number, cell[right], sign)
@@ -115,16 +117,22 @@ def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray, seed: int) ->
             touched.append(cell[right])
         look = np.unique(np.concatenate(touched))
     left = np.bincount(table, (number != 0) | (total != 0), len(sizes))
-    return found, left == 0
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), left == 0
+    return *(np.concatenate(part) for part in zip(*found)), left == 0
 
 
-def differing(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], count: int) -> np.ndarray:
-    """How many digests differ in each of ``count`` pairs of texts, by their tables."""
-    result, pending = np.zeros(count, np.int64), np.arange(count)
+def recovered(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray],
+              count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The digests that differ in ``count`` pairs of texts: digest, pair, and 1 if the first text has it, else -1.
+
+    Tables of the fingerprint's size first; the pairs that these are too small for are tried again with larger ones.
+    """
+    parts, pending = [], np.arange(count)
     amounts = np.bincount(one[1], minlength=count) + np.bincount(two[1], minlength=count)
     for attempt in range(RETRIES):
         # the fingerprint's own size, then one that holds two texts without anything in common, then doubled
-        wanted = np.where(amounts[pending] < 0, 0, amounts[pending] * 3 // 2 * 2 ** max(0, attempt - 1))
+        wanted = amounts[pending] * 3 // 2 * 2 ** max(0, attempt - 1)
         sizes = np.full(len(pending), CELLS) if attempt == 0 else np.maximum(CELLS, -(-wanted // HASHES) * HASHES + 6)
         begins = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
         slot = np.full(count, -1)
@@ -136,14 +144,22 @@ def differing(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndar
             for cell in _cells(keys, sizes[here], begins[here], attempt):
                 np.add.at(number, cell, sign)
                 np.bitwise_xor.at(total, cell, keys)
-        found, done = peel(number, total, sizes, attempt)
-        result[pending[done]] = found[done]
+        keys, own, sign, done = peel(number, total, sizes, attempt)
+        whole = done[own]
+        parts.append((keys[whole], pending[own[whole]], sign[whole]))
         pending = pending[~done]
         if not len(pending):
-            return result
+            break
     for i in pending:
-        result[i] = len(np.setxor1d(one[0][one[1] == i], two[0][two[1] == i]))
-    return result
+        mine, other = one[0][one[1] == i], two[0][two[1] == i]
+        for keys, sign in ((np.setdiff1d(mine, other), 1), (np.setdiff1d(other, mine), -1)):
+            parts.append((keys, np.full(len(keys), i), np.full(len(keys), sign)))
+    return tuple(np.concatenate(part) for part in zip(*parts))
+
+
+def differing(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], count: int) -> np.ndarray:
+    """How many digests differ in each of ``count`` pairs of texts, by their tables."""
+    return np.bincount(recovered(one, two, count)[1], minlength=count)
 
 
 def likeness(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], count: int) -> np.ndarray:
@@ -199,8 +215,10 @@ def with_following(docs: DataFrame) -> DataFrame:
     before = [b for b, _ in tops[-1:] + tops[:-1]]
     guests = spark.createDataFrame(
         [(b, t, to) for (b, t), to in zip(tops, before)], "bucket int, top long, before int")
-    invited = tagged.join(F.broadcast(guests), "bucket")  # one row a bucket at most.filter(F.col("doc_id").eqNullSafe(F.col("top"))).select(
-        "doc_id", "text", F.col("before").alias("bucket"), F.lit(True).alias("guest"))
+    invited = (  # the guests are broadcast, one row a bucket at most; of equal ids the first text is invited
+        tagged.join(F.broadcast(guests), "bucket").filter(F.col("doc_id").eqNullSafe(F.col("top")))
+        .groupBy("doc_id", F.col("before").alias("bucket")).agg(F.min("text").alias("text"))
+        .select("doc_id", "text", "bucket", F.lit(True).alias("guest")))
     return (
         tagged.withColumn("guest", F.lit(False)).unionByName(invited).repartition("bucket")
         .sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), "text"))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -115,7 +116,18 @@ def test_fingerprints_equal_brute_force(spark, odd, none):
         want.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest()))
     got = fingerprints.fingerprints(odd).collect()
     assert sorted(map(str, [(r.doc_id, r.n_chars, r.edited_sha256) for r in got])) == sorted(map(str, want))
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+
+    def pieces(text):
+        return set(fingerprints.digests(pa.array([text]))[0].tolist())
+
+    def alike(one, two):
+        one, two = pieces(one), pieces(two)
+        return 1 - len(one ^ two) / max(1, len(one) + len(two))
+
+    following = [rows[(i + 1) % len(rows)][1] for i in range(len(rows))]
+    near = [(i, t, alike(t, fingerprints.edited(t, n)), alike(t, n)) for (i, t), n in zip(rows, following)]
+    assert sorted((str(r.doc_id), r.n_chars, r.near_edited, r.near_next) for r in got) == sorted(
+        (str(i), len(t), a, b) for i, t, a, b in near)
     prints = {r.doc_id: r.fingerprint for r in got}
     assert prints[5] == prints[6] != prints[7] and prints[1] == prints[2]
     assert fingerprints.fingerprints(none).collect() == []
@@ -127,8 +139,12 @@ def test_tables_give_back_what_differs():
     for kept in (400, 396, 300, 0):
         a = fingerprints._checked(one)
         b = fingerprints._checked(np.concatenate([one[:kept], one[kept:] + np.uint64(1)]))
-        found = fingerprints.differing((a, np.zeros(len(a), int)), (b, np.zeros(len(b), int)), 1)[0]
-        assert found == len(np.setxor1d(a, b))
+        pair = (a, np.zeros(len(a), int)), (b, np.zeros(len(b), int))
+        assert fingerprints.differing(*pair, 1)[0] == len(np.setxor1d(a, b))
+        keys, own, side = fingerprints.recovered(*pair, 1)
+        assert not own.any() and len(np.unique(keys)) == len(keys)
+        assert np.array_equal(np.sort(keys[side == 1]), np.setdiff1d(a, b))
+        assert np.array_equal(np.sort(keys[side == -1]), np.setdiff1d(b, a))
 
 
 def test_edit_distance_equals_definition():
