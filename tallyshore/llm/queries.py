@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyshore.llm import embeddings, fingerprints, licenses, lines, minhash, mixture, quality, tokens, toxicity, urls
-from tallyshore.llm.common import table
+from tallyshore.llm import (binary, collocations, embeddings, fingerprints, infill, licenses, lines, minhash, mixture,
+                            quality, tokens, toxicity, urls)
+from tallyshore.llm.common import Scratch, table
 
 URL_RULES = (
     urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"),
@@ -65,9 +66,24 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_orc_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{Scratch(spark, 'op11').folder}/tokens"
+    ids = binary.encode_ordered(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    binary.write(ids, path)
+    return binary.digests(binary.read(spark, path))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(infill.pieces(table(spark, folder, "documents")))
+
+
 CATALOG = {f.__name__: f for f in (
     op1_minhash_dedup, op2_url_filters, op3_fingerprints, op4_line_dedup, op5_toxicity, op6_source_mix, op7_license_scan, op8_embedding_dedup, op9_quality,
-    op10_bpe_round_trip)}
+    op10_bpe_round_trip, op11_orc_token_ids, op12_collocations, op13_fill_in_middle)}
 
 ORACLES = {
     "op2_url_filters": r"""
@@ -142,4 +158,52 @@ select l.doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, fir
   case when n_base > 0 then 1.0::double else coalesce(share, 0)::double end score
 from listed l left join base b on l.doc_id = b.doc_id left join more m on l.doc_id = m.doc_id""".replace(
         "@templates@", ",\n  ".join(f"('{label}', '{words}')" for label, words in licenses.TEMPLATES)),
+    "op12_collocations": r"""
+with texts as (
+  select coalesce(lang, 'und') lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+pieces as (
+  select lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from texts),
+counts as materialized (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') phrase, count(*) a
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) i
+        from pieces, (values (1), (2), (3), (4)) sizes(k) where len(w) >= k)
+  group by all),
+totals as (select lang, sum(a)::bigint n from counts where k = 1 group by lang),
+candidates as (select lang, k, phrase, a, string_split(phrase, ' ') w from counts where k > 1 and a >= 30),
+cuts as (
+  select c.lang, c.phrase, c.a, j, x.a l, y.a r, (2000000::hugeint * c.a // (x.a + y.a))::bigint score
+  from (select *, unnest(range(1, k)) j from candidates) c
+  join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:j], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(w[j + 1:c.k], ' ')),
+weakest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (
+  select lang, p phrase, max(a) longer
+  from (select lang, a, unnest(flatten(list_transform(range(2, k), lambda s:
+          list_transform(range(1, k - s + 2), lambda b: array_to_string(w[b:b + s - 1], ' '))))) p
+        from candidates where k > 2)
+  group by all),
+ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) rank, phrase, a, l, r, score
+  from weakest left join inside using (lang, phrase) where longer is null or 100 * longer < 80 * a)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000""",
+    "op13_fill_in_middle": r"""
+with hashed as (
+  select doc_id, coalesce(text, '') t, length(coalesce(text, '')) n, sha256('1:' || doc_id) h from documents),
+drawn as (
+  select doc_id, t, n, ('0x' || substr(h, 1, 8))::bigint % (n + 1) one, ('0x' || substr(h, 9, 8))::bigint % (n + 1) two,
+         ('0x' || substr(h, 17, 8))::bigint % 100 three, ('0x' || substr(h, 25, 8))::bigint % 100 four from hashed),
+formed as (
+  select *, least(one, two) a, greatest(one, two) b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or three >= 90 then 'plain'
+              when four < 20 then 'spm' else 'psm' end form from drawn),
+parted as (
+  select *, substr(t, 1, a) prefix, substr(t, a + 1, b - a) middle, substr(t, b + 1) suffix from formed)
+select doc_id, n, form, case when form <> 'plain' then a end prefix_chars,
+  case when form <> 'plain' then b - a end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) output_sha256,
+  sha256(t) restored_sha256
+from parted""",
 }
