@@ -84,13 +84,26 @@ def test_lookups_read_few_row_groups(spark, tmp_path):
 
 
 def test_encoder_forgets_and_learns_again():
-    encoder = binary.ChunkEncoder(open(WORDS, encoding="utf-8").read())
-    first = encoder.encode(["two words", ""])
-    kept, binary.CHUNKS_KEPT = binary.CHUNKS_KEPT, 2
+    encoder = binary.RunEncoder(open(WORDS, encoding="utf-8").read())
+    first = encoder.encode(["two words, Über", ""])
+    kept = binary.RUNS_KEPT, binary.WORDS_KEPT
+    binary.RUNS_KEPT = binary.WORDS_KEPT = 2
     try:
-        assert encoder.encode(["words of others", "two  words", ""])[1:] == first
+        assert encoder.encode(["words of others", "two  words, Über", ""])[1:] == first
     finally:
-        binary.CHUNKS_KEPT = kept
+        binary.RUNS_KEPT, binary.WORDS_KEPT = kept
+
+
+def test_runs_equal_whole_texts():
+    """Words with all kinds of letters and marks, alone, capital and before punctuation."""
+    encoder = binary.RunEncoder(open(WORDS, encoding="utf-8").read())
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x21, 0x260)] + ["\u0301", "Σ", "ß", "İ", "語", "ก", "\u1100", "\u1161", "😀", "'s", "'ll", "\xa0", "\x85"]
+    texts = ["".join(rng.choices(letters + [" "] * 60 + ["\n", "\t", ". ", ", "], k=200)) for _ in range(300)]
+    texts += ["".join(c + rng.choice(["", ",", "!? "]) + " " for c in letters)]
+    tokenizer = Tokenizer.from_file(WORDS)
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def _mined(rows, settings):
