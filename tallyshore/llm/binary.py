@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tallyshore.llm.common import SLICE_BYTES, slices
 from tallyshore.llm.tokens import worker_kept
 
-RUNS_KEPT, WORDS_KEPT = 600_000, 400_000  # encodings that a worker keeps; beyond that the older half goes
+PIECES_KEPT = 800_000  # encodings that a worker keeps; beyond that the older half goes
 END = 2  # the id that ends a document in the query
 
 
@@ -45,19 +45,23 @@ class Format:
                 "orc.bloom.filter.fpp": str(self.bloom_fpp), "orc.compress": self.compression}
 
 
-# A Latin word with punctuation behind it, if any. Under the split pattern below the word is one piece, its letters
-# are already composed, and each becomes one letter when lowered.
-_LATIN_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|]*)").fullmatch
+# The pattern that common tokenizers of lowered text split by, and its equal for texts of ASCII and of Latin letters
+# that are composed already and become one letter each when lowered.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_LATIN = re.compile(rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[!-/:-@\[-`{{-~]+").findall
+_BEYOND_LATIN = re.compile(rf"[^\t-\r\x20-\x7e{_LETTERS}]").search
+_WORD = re.compile(f"[{_LETTERS}]+").fullmatch
 
 
-class RunEncoder:
-    """Encodes texts run by run of what stands between ASCII white space, each different run once.
+class PieceEncoder:
+    """Encodes texts piece by piece, each different piece once.
 
-    Right for tokenizers that drop white space, so that no token reaches across it. If
-    the tokenizer lowers, splits by the pattern above and marks the last token of a
-    word, then distinct words are encoded by the hundred in one call, and the marks
-    tell their ids apart.
+    Pieces are what stands between ASCII white space: right for tokenizers that drop
+    white space, so that no token reaches across it. If the tokenizer lowers, splits by
+    the pattern above and marks the last token of a word, then Latin texts are split by
+    that pattern, and distinct words are encoded by the hundred in one call, as the
+    marks tell their ids apart.
     """
 
     def __init__(self, definition: str):
@@ -65,71 +69,58 @@ class RunEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self._tokenizer = Tokenizer.from_str(definition)
-        self._known: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {"": b""}
+        self._known: dict[str, bytes] = {"": b""}
         parts = json.loads(definition)
         normal = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         split = ((parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
         mark = parts["model"].get("end_of_word_suffix")
+        self._special = re.compile("|".join([re.escape(t["content"]) for t in parts["added_tokens"]] or ["(?!)"])).search
         self._last = None  # by id, whether it ends a word
         if mark and normal == ["NFC", "Replace", "Lowercase"] and split == _PATTERN:
             vocabulary = self._tokenizer.get_vocab()
             self._last = np.zeros(max(vocabulary.values()) + 1, bool)
             self._last[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
 
-    def _single(self, texts: list[str]) -> Iterator[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return (np.array(e.ids, "<u4").tobytes() for e in found)
+    def split(self, text: str) -> list[str]:
+        if self._last is not None and not _BEYOND_LATIN(text) and not self._special(text):
+            return _LATIN(text.lower())
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _single(self, texts: list[str]) -> None:
+        for start in range(0, len(texts), 10_000):
+            some = texts[start:start + 10_000]
+            found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self._known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in found)))
+
+    def _learn(self, pieces: set[str]) -> None:
+        words = [p for p in pieces if _WORD(p)] if self._last is not None else []
+        self._single(list(pieces.difference(words)))
         for start in range(0, len(words), 200):
             some = words[start:start + 200]
             ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
             ends = (np.flatnonzero(self._last[ids]) + 1) * 4
-            if len(ends) == len(some):
-                data, begin = ids.tobytes(), 0
-                for word, end in zip(some, ends.tolist()):
-                    self._words[word] = data[begin:end]
-                    begin = end
-            else:
-                self._words.update(zip(some, self._single(some)))
-
-    def _learn(self, runs: list[str]) -> None:
-        others = runs
-        if self._last is not None:
-            matches = [(run, found[1].lower(), found[2]) for run in runs if (found := _LATIN_WORD(run))]
-            needed = {word for _, word, _ in matches} | {tail for _, _, tail in matches}
-            if len(self._words) + len(needed) > WORDS_KEPT:
-                self._words = _without_oldest(self._words, needed | {""})
-            new = needed.difference(self._words)
-            tails = [word for word in new if not word[0].isalpha()]
-            self._words.update(zip(tails, self._single(tails)))
-            self._learn_words(list(new.difference(tails)))
-            words = self._words
-            self._known.update((run, words[word] + words[tail]) for run, word, tail in matches)
-            others = [run for run in runs if run not in self._known]
-        for start in range(0, len(others), 10_000):
-            some = others[start:start + 10_000]
-            self._known.update(zip(some, self._single(some)))
+            if len(ends) != len(some):  # no mark behind a word that the vocabulary can't spell
+                self._single(some)
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(some, ends.tolist()):
+                self._known[word] = data[begin:end]
+                begin = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each, the lowest first."""
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        parts = [self.split(text) for text in texts]
         needed = set().union(*parts)
-        if len(self._known) + len(needed) > RUNS_KEPT:
-            self._known = _without_oldest(self._known, needed)
-        self._learn(list(needed.difference(self._known)))
+        new = needed.difference(self._known)
+        if len(self._known) + len(new) > PIECES_KEPT:
+            old = self._known
+            self._known = dict(islice(old.items(), len(old) // 2, None))
+            self._known.update((key, old[key]) for key in needed if key in old)
+        self._learn(new)
         known = self._known.__getitem__
         return [b"".join(map(known, part)) for part in parts]
 
 
-def _without_oldest(kept: dict[str, bytes], needed: set[str]) -> dict[str, bytes]:
-    """The younger half of a cache, and what is needed now."""
-    found = dict(islice(kept.items(), len(kept) // 2, None))
-    found.update((key, kept[key]) for key in needed if key in kept)
-    return found
-
-
 def _ordered(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` in ranges of ascending ids, null first; rows that share an id in the order of their texts.
 
@@ -157,7 +148,7 @@ def encode_ordered(docs: DataFrame, tokenizer_path: str, end: int | None = END)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # as for the other tokenizer: many small objects and no cycles
-        encoder = worker_kept(("runs", digest), lambda: RunEncoder(sent.value))
+        encoder = worker_kept(("pieces", digest), lambda: PieceEncoder(sent.value))
         before = 0
         for batch in batches:
             for part in slices(batch, most=4 * SLICE_BYTES):

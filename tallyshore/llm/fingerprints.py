@@ -89,14 +89,17 @@ def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray,
     """The digests that tables of differences held, the table and side of each, and which tables that emptied.
 
     The tables stand one behind the other in ``number`` and ``total``, which are used up. The side is
-    1 for a digest of the text that was added, -1 for one of the text that was subtracted.
+    1 for a digest of the text that was added, -1 for one of the text that was subtracted. A sum of several
+    digests may look like one, be taken out, and come back on the other side: such pairs cancel out, and a
+    table that gives more digests than it has cells is given up.
     """
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     table = np.repeat(np.arange(len(sizes)), sizes)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    given = np.zeros(len(sizes), np.int64)
     look = np.arange(len(number))
     while len(look):
-        look = look[np.abs(number[look]) == 1]
+        look = look[(np.abs(number[look]) == 1) & (given[table[look]] <= sizes[table[look]])]
         keys = total[look]
         good = mix(keys >> np.uint64(16)) & _CHECK == keys & _CHECK
         look, keys = look[good], keys[good]
@@ -110,6 +113,7 @@ def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray,
         right = np.any([cell == look for cell in cells], axis=0)
         own, sign, keys = own[right], sign[right], keys[right]
         found.append((keys, own, sign))
+        np.add.at(given, own, 1)
         touched = []
         for cell in cells:
             np.subtract.at(number, cell[right], sign)
@@ -119,7 +123,12 @@ def peel(number: np.ndarray, total: np.ndarray, sizes: np.ndarray,
     left = np.bincount(table, (number != 0) | (total != 0), len(sizes))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), left == 0
-    return *(np.concatenate(part) for part in zip(*found)), left == 0
+    keys, own, sign = (np.concatenate(part) for part in zip(*found))
+    order = np.lexsort((keys, own))
+    keys, own, sign = keys[order], own[order], sign[order]
+    begin = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (own[1:] != own[:-1]))) if len(keys) else order
+    net = np.add.reduceat(sign, begin) if len(begin) else sign
+    return keys[begin][net != 0], own[begin][net != 0], net[net != 0], (left == 0) & (given <= sizes)
 
 
 def recovered(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray],

@@ -84,22 +84,23 @@ def test_lookups_read_few_row_groups(spark, tmp_path):
 
 
 def test_encoder_forgets_and_learns_again():
-    encoder = binary.RunEncoder(open(WORDS, encoding="utf-8").read())
+    encoder = binary.PieceEncoder(open(WORDS, encoding="utf-8").read())
     first = encoder.encode(["two words, Über", ""])
-    kept = binary.RUNS_KEPT, binary.WORDS_KEPT
-    binary.RUNS_KEPT = binary.WORDS_KEPT = 2
+    kept, binary.PIECES_KEPT = binary.PIECES_KEPT, 2
     try:
         assert encoder.encode(["words of others", "two  words, Über", ""])[1:] == first
     finally:
-        binary.RUNS_KEPT, binary.WORDS_KEPT = kept
+        binary.PIECES_KEPT = kept
 
 
-def test_runs_equal_whole_texts():
+def test_pieces_equal_whole_texts():
     """Words with all kinds of letters and marks, alone, capital and before punctuation."""
-    encoder = binary.RunEncoder(open(WORDS, encoding="utf-8").read())
+    encoder = binary.PieceEncoder(open(WORDS, encoding="utf-8").read())
     rng = random.Random(4)
     letters = [chr(c) for c in range(0x21, 0x260)] + ["\u0301", "Σ", "ß", "İ", "語", "ก", "\u1100", "\u1161", "😀", "'s", "'ll", "\xa0", "\x85"]
     texts = ["".join(rng.choices(letters + [" "] * 60 + ["\n", "\t", ". ", ", "], k=200)) for _ in range(300)]
+    texts += ["".join(rng.choices(letters[:95] + ["é", "ø", " "] + [" "] * 20 + ["'re ", "\n", "\x0b"], k=200)) for _ in range(300)]
+    texts += ["a <|endoftext|> b", "<|startoftext|>x", "_a__b_ 12,5 (it's)"]
     texts += ["".join(c + rng.choice(["", ",", "!? "]) + " " for c in letters)]
     tokenizer = Tokenizer.from_file(WORDS)
     got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
