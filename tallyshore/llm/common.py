@@ -43,6 +43,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or that with as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_nodes(docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``docs`` with a number that tells all rows apart: ``doc_id``, or one from 2^62 on for repeated and null ids.
+
+    Ids that are there once need no more than a count of the ids. Otherwise the rows
+    are written with their numbers, so that every later step sees the same ones.
+    """
+    key = F.col("doc_id").cast("long")
+    repeats = docs.groupBy(key.alias("__of")).agg(F.count("*").alias("__n")).filter("__n > 1 or __of is null")
+    if repeats.isEmpty():
+        return docs.withColumn(name, key)
+    number = F.lit(1 << 62) + F.monotonically_increasing_id()
+    marked = docs.join(repeats, key.eqNullSafe(F.col("__of")), "left")
+    return scratch.keep(
+        marked.withColumn(name, F.when(F.col("__n").isNotNull(), number).otherwise(key)).select(
+            *[F.col(f"`{c}`") for c in docs.columns], name), "numbered")
+
+
 def ascii_lower(text: str | Column) -> Column:
     return F.translate(F.col(text) if isinstance(text, str) else text, UPPER, LOWER)
 

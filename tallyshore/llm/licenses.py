@@ -72,8 +72,8 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
     counted in full. The score is 1 for a phrase, else the largest share of a
     template, else 0.
 
-    A null or empty text has no words and empty labels. Rows that repeat an id
-    share the labels of all of them, as do those without an id.
+    A null or empty text has no words and empty labels. Rows are told apart by a
+    number of their own, so those that repeat an id, or have none, get the labels of their texts.
     """
     spark = docs.sparkSession
     sets = _sets(templates)
@@ -109,17 +109,17 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
                 F.size(w).alias("n"), F.array_intersect(w, listed).alias("tokens"))).alias("lines"),
             F.when(several, F.get(F.transform(F.array(F.flatten(lines)), pieces), F.lit(0))).alias("pieces"))
 
-    rows = docs.select("doc_id", F.when(maybe, base).alias("base"),
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.when(maybe, base).alias("base"),
                        F.get(F.transform(F.array(split), parts), F.lit(0)).alias("parts"))
     rows = scratch.keep(rows.select(
-        "doc_id", F.aggregate("parts.lines", F.lit(0).cast("long"), lambda s, b: s + b["n"]).alias("n_words"),
+        "doc_id", "row", F.aggregate("parts.lines", F.lit(0).cast("long"), lambda s, b: s + b["n"]).alias("n_words"),
         F.coalesce("base", F.expr("array()").cast("array<struct<start:bigint,label:string>>")).alias("base"),
         F.filter(F.transform("parts.lines", lambda b: b["tokens"]), lambda t: F.size(t) > 0).alias("blocks"),
         F.col("parts.pieces").alias("pieces")), "rows")
 
-    blocks = rows.select("doc_id", F.explode("blocks").alias("tokens"))
-    wrapped = rows.select("doc_id", F.explode("pieces").alias("found")).select(
-        "doc_id", F.array_distinct(F.transform("found", lambda h: h["token"])).alias("tokens"), "found")
+    blocks = rows.select("row", F.explode("blocks").alias("tokens"))
+    wrapped = rows.select("row", F.explode("pieces").alias("found")).select(
+        "row", F.array_distinct(F.transform("found", lambda h: h["token"])).alias("tokens"), "found")
     counts = {r[0]: r[1] for r in blocks.select(F.explode("tokens").alias("token")).groupBy("token").count().collect()}
     ordered = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))  # of the templates' words only
     rank = {w: i for i, w in enumerate(ordered)}
@@ -135,8 +135,8 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
         F.array_sort(F.transform("tokens", lambda t: F.struct(F.get(F.map_values(F.map_filter(
             ranks, lambda k, _: k == t)), F.lit(0)).alias("rank"), t.alias("token")))), lambda s: s["token"])
     probes = blocks.withColumn("found", F.lit(None).cast(wrapped.schema["found"].dataType)).unionByName(wrapped).filter(
-        F.size("tokens") >= least).select("doc_id", sorted_tokens.alias("tokens"), "found").select(
-        "doc_id", "tokens", "found", F.posexplode("tokens").alias("at", "token"))
+        F.size("tokens") >= least).select("row", sorted_tokens.alias("tokens"), "found").select(
+        "row", "tokens", "found", F.posexplode("tokens").alias("at", "token"))
 
     def best(own: Column) -> Column:
         """The most different words in a run, of those words of a piece that a template has."""
@@ -152,13 +152,12 @@ def scan(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Seque
         .filter((F.size("tokens") >= F.col("need"))
                 & (F.least(F.size("words") - F.col("place"), F.size("tokens") - F.col("at")) >= F.col("need")))
         .withColumn("share", share).filter(F.col("share") >= threshold))
-    hits = candidates.groupBy("doc_id").agg(
+    hits = candidates.groupBy("row").agg(
         F.collect_set("label").alias("more"), F.max("share").alias("share"))
     labels = F.array_distinct(F.transform("base", lambda b: b["label"]))
     starts = F.transform("base", lambda b: b["start"])
     all_labels = F.array_union(labels, F.coalesce("more", F.expr("array()").cast("array<string>")))
-    hits = hits.withColumnRenamed("doc_id", "of")
-    return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
+    return rows.join(hits, "row", "left").select(
         "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         F.array_join(F.array_sort(labels), ",").alias("base_labels"),

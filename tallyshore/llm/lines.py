@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyshore.llm.common import Scratch, components, mix, slices, span_hashes, text_bytes
+from tallyshore.llm.common import Scratch, components, fresh, mix, slices, span_hashes, text_bytes, with_nodes
 
 SEEN = 1_000_000  # lines that a task remembers so as not to send them again
 FILTER_BITS = 24
@@ -359,9 +359,13 @@ def remove(docs: DataFrame, settings: Settings = LOST) -> DataFrame:
     Short lines are within two edits of very many others, so of those below ``near``
     bytes only equal ones are removed; if they are white space, they stay as empty lines do.
     All columns stay; ``n_chars``, if there, follows the text. Documents that
-    have no line to lose are untouched. The work is linear in the lines of a text.
+    have no line to lose are untouched. Rows that repeat an id, or have none, lose lines by
+    their own texts. The work is linear in the lines of a text.
     """
-    gone = near_duplicates(docs, settings).filter("not kept").groupBy(F.col("doc_id").alias("__of")).agg(
+    scratch, node = Scratch(docs.sparkSession, "remove"), fresh(docs, "__node")
+    rows = with_nodes(docs, scratch, node)
+    judged = near_duplicates(rows.select(F.col(node).alias("doc_id"), "text"), settings)
+    gone = judged.filter("not kept").groupBy(F.col("doc_id").alias("__of")).agg(
         F.collect_set("line_no").alias("__gone"))
 
     def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
@@ -375,7 +379,7 @@ def remove(docs: DataFrame, settings: Settings = LOST) -> DataFrame:
 
     # as nondeterministic it is worked out once, not in the filter as well
     kept = F.pandas_udf(cut, "string").asNondeterministic()(F.when(F.col("__gone").isNotNull(), F.col("text")), "__gone")
-    joined = docs.join(gone, F.col("doc_id") == F.col("__of"), "left")
+    joined = rows.join(gone, F.col(node) == F.col("__of"), "left")
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)
     rest = joined.withColumn("text", text).filter("__gone is null or trim(text) <> ''")
     if "n_chars" in docs.columns:

@@ -138,8 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", bound: int
     return Model(scaled.center, scaled.spread, weights, bias, prior)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: bool = False) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row; with ``keep``, all columns of ``docs`` and ``score``.
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: str | None = None) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row; with ``keep``, all columns of ``docs`` and the score
+    under that name, which must not be one of theirs.
 
     Scores come from the whole text alone. Null and empty texts have the score
     of a text without characters.
@@ -148,11 +149,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, keep: bool = Fa
         for batch in batches:
             for part in slices(batch, most=SLICE_BYTES // 2):
                 scores = pa.array(model.score(part.column("text")))
-                yield pa.RecordBatch.from_arrays([*part.columns, scores], [*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], [*part.schema.names, name])
 
-    rows = docs.drop("score") if keep else docs.select("doc_id", "text")
+    name, rows = keep or "score", docs if keep else docs.select("doc_id", "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    scored = rows.mapInArrow(run, f"{fields}, score double")
+    scored = rows.mapInArrow(run, f"{fields}, `{name}` double")
     if keep:
         return scored
     return scored.select(

@@ -417,3 +417,49 @@ def test_pipeline_stages(spark):
     assert kept == {r.doc_id for r in minhash.near_duplicates(docs).collect() if r.kept}
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert rows and all(r.round_trip and r.n_tokens == len(r.token_ids) for r in rows)
+
+
+CLASHING = DOCS + ", digest string, kept string, row string, __score string, __node string"
+LONG = "first words of a good plain line that no other text has, number {}"
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Rows that share an id or have none, with texts of their own, and columns named like ours."""
+    texts = [(1, LONG.format("one alone")), (6, LONG.format("one alone")), (6, "quite another story " + "é" * 30 + " told once"),
+             (6, "shared opening of some length here\n" + LONG.format("two zwei")),
+             (7, "shared opening of some length here"), (7, "a story of ships\nshared opening of some length here"),
+             (None, "nothing here at all but plain words of a text"), (None, "Licensed under the MIT License, said nobody else"),
+             (None, LONG.format("one alone")), (8, None), (8, "")]
+    rows = [(i, t, "en", f"s{n}", n, "t", "s", "d", "k", "r", "c", "n") for n, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, CLASHING)
+
+
+def test_no_stage_loses_a_unique_text_or_a_column(spark, clashing, monkeypatch):
+    rows = {r.source: r for r in clashing.collect()}
+    monkeypatch.setattr(corpus_pipeline, "QUALITY", 0.0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, FOLDER)
+        assert out.columns == clashing.columns, name
+        got = out.collect()
+        for r in got:
+            assert [v for c, v in r.asDict().items() if c not in ("text", "n_chars")] == [
+                v for c, v in rows[r.source].asDict().items() if c not in ("text", "n_chars")], name
+        texts = Counter(r.text for r in got)
+        if name == "line dedup":
+            assert texts[LONG.format("two zwei")] + texts["shared opening of some length here\n" + LONG.format("two zwei")] == 1
+            assert texts["a story of ships"] + texts["a story of ships\nshared opening of some length here"] == 1
+            assert sum((t or "").count("shared opening") for t in texts) == 1
+            assert sum((t or "").count("one alone") for t in texts.elements()) == 1
+        if name == "minhash near-dedup":
+            assert texts[LONG.format("one alone")] == 1 and {r.doc_id for r in got if r.text == LONG.format("one alone")} == {1}
+        for unique in {r.text for r in rows.values() if r.source in ("s2", "s6", "s7")}:
+            assert texts[unique] == 1 or name == "source mix" and texts[unique] > 0, (name, unique)
+    encoded = corpus_pipeline.STAGES[-1][1](spark, clashing, FOLDER).collect()
+    assert len(encoded) == len(rows) and all(r.round_trip for r in encoded)
+
+
+def test_licenses_label_each_row_by_its_own_text(clashing):
+    got = Counter((r.doc_id, r.n_words, r.labels) for r in licenses.scan(clashing).collect())
+    assert got[None, 10, ""] == 1 and got[None, 8, "mit"] == 1
+    assert sum(n for (_, _, labels), n in got.items() if labels) == 1
