@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshore.llm import lines, minhash, mixture, quality, tokens
-from tallyshore.llm.common import Scratch, table
+from tallyshore.llm.common import Scratch, fresh, table, with_nodes
 
 QUALITY = 0.3
 #: A classifier, and near copies by MinHash, are beyond SQL.
@@ -22,8 +22,8 @@ ORACLE_SQL = None
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with a quality score of 0.3 or more."""
     model = quality.fit(docs, table(spark, folder, "labels"))
-    scored = quality.score(docs, model, keep=True)
-    return scored.filter(F.col("score") >= QUALITY).drop("score")
+    score = fresh(docs, "__score")
+    return quality.score(docs, model, keep=score).filter(F.col(score) >= QUALITY).drop(score)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -32,9 +32,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document of smallest id of each group of near copies, on shingles of five words."""
-    copies = minhash.near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    """The document of smallest id of each group of near copies, on shingles of five words.
+
+    Rows that repeat an id, or have none, are documents of their own, behind all others in that order.
+    """
+    node = fresh(docs, "__node")
+    rows = with_nodes(docs, Scratch(spark, "near-copies"), node)
+    copies = minhash.near_duplicates(rows.select(F.col(node).alias("doc_id"), "text")).filter("not kept").select(
+        F.col("doc_id").alias("__copy"))
+    return rows.join(copies, F.col(node) == F.col("__copy"), "left_anti").drop(node)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
