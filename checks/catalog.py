@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
+import uuid
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +15,13 @@ from pyspark.sql import functions as F
 from checks import standins as s
 from tallyshore.functions.columns import age_group, date_key, in_sample, squeeze_text
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
+from tallyshore.operators.ordered import number_rows
 from tallyshore.plans import churn_model, marts, topic_model
 from tallyshore.schemas import COMPLAINT_COLUMNS, shop_schema
 from tallyshore.session import shared_folder
 from tallyshore.sources import readers
-from tallyshore.sources.multiline import read_complaints_split
-from tallyshore.sources.writers import read_tables, register, write_json, write_parquet, write_tables
+from tallyshore.sources.multiline import csv_records, read_complaints_split, stage_lines, wrong_headers
+from tallyshore.sources.writers import parquet_once, read_tables, register, write_json, write_parquet, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -217,6 +220,63 @@ def complaints_round_trip(spark, d):
     return text_dates(back.select(*source.columns))
 
 
+HEADER_STYLES = ("plain", "quoted", "marked", "swapped")
+
+
+@query
+def complaint_headers(spark, d):
+    """Files with headers spelled in three valid ways and a wrong one: which are refused, and their records."""
+    source = s.complaints(spark, d)
+    blank = F.lit(None).cast("string")
+    root = _folder(spark, d, "complaint-headers")
+    for number, style in enumerate(HEADER_STYLES):
+        names = list(COMPLAINT_COLUMNS.items())
+        if style == "swapped":
+            names[1], names[3] = names[3], names[1]
+        mark = "\ufeff" if style == "marked" else ""
+        rows = source.filter(F.pmod(F.col("complaint_id"), F.lit(len(HEADER_STYLES))) == number)
+        rows.select(*[
+            (F.col(ours) if ours in source.columns else blank).alias(mark * (i == 0) + header)
+            for i, (header, ours) in enumerate(names)
+        ]).write.csv(f"{root}/style={style}", mode="overwrite", header=True, quote='"', escape='"',
+                     quoteAll=style == "quoted", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    lines = stage_lines(spark, root, _folder(spark, d, "header-lines"))
+    style = F.regexp_extract("file", "style=(\\w+)", 1).alias("style")
+    wrong = wrong_headers(lines, list(COMPLAINT_COLUMNS)).select(style).distinct().withColumn("refused", F.lit(True))
+    records = csv_records(lines).groupBy(style).agg(F.count("*").alias("records"))
+    return records.join(wrong, "style", "left").select("style", "records", F.coalesce("refused", F.lit(False)).alias("refused"))
+
+
+@query
+def refused_file(spark, d):
+    """Reading files of which one has another header raises, and names the file."""
+    complaint_headers(spark, d)
+    try:
+        read_complaints_split(spark, _folder(spark, d, "complaint-headers"), _folder(spark, d, "header-lines"))
+        said = "nothing"
+    except ValueError as error:
+        said = re.search(r"style=(\w+)", str(error))[1]
+    return s.complaints(spark, d).agg(F.count("*").alias("complaints")).withColumn("refused", F.lit(said))
+
+
+@query
+def bronze_once(spark, d):
+    """A second build of a stored table is skipped: it would have half of the rows."""
+    path = f"{_folder(spark, d, 'bronze')}-{uuid.uuid4().hex}"
+    docs = s.table(spark, d, "documents").select("doc_id", "lang")
+    first = parquet_once(spark, path, lambda: docs)
+    second = parquet_once(spark, path, lambda: docs.filter("doc_id % 2 = 0"))
+    return first.groupBy("lang").agg(F.count("*").alias("first_rows")).join(
+        second.groupBy("lang").agg(F.count("*").alias("second_rows")), "lang")
+
+
+@query
+def word_keys(spark, d):
+    """The distinct words of all texts, numbered in their order."""
+    words = s.table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[^ \t\n\r]+"), 0)).alias("word"))
+    return number_rows(words.distinct(), "word", "word_sk")
+
+
 @query
 def served_tables(spark, d):
     """Named tables written in order, read back and counted."""
@@ -403,19 +463,38 @@ def score_histogram(spark, d):
 
 # --- star schema ------------------------------------------------------------
 
-def star_tables(spark, d):
+CHURN_TABLES = ("dim_state", "dim_customer", "fact_churn_prediction")
+COMPLAINT_TABLES = ("dim_state", "dim_product", "fact_complaints")
+
+
+def star_tables(spark, d, *names: str) -> star.Star:
+    """The star; what these tables, or all, are made from is written first, as the jobs do."""
     orders = s.orders(spark, d)
     cutoff = churn.cutoff_date(orders)
     people = features.customer_profile(s.home(spark, d))
     labeled = churn.label_churn(orders, cutoff).join(people, "user_id")
     stats = text.monthly_counts(s.order_complaints(spark, d))
-    return star.build_star(labeled, s.scores(spark, d, cutoff), stats, cutoff,
-                           s.states(spark, d))
+    if not names or {"dim_customer", "fact_churn_prediction"} & set(names):
+        labeled = written(labeled, d, "star-labeled")
+    if not names or {"dim_product", "dim_date", "fact_complaints"} & set(names):
+        stats = written(stats, d, "star-stats")
+    return star.Star(labeled, s.made_up_scores(labeled), stats, cutoff, s.states(spark, d))
+
+
+def loaded(spark, d, *names: str) -> star.Star:
+    """The star with these tables, or all, written and read back."""
+    tables = star_tables(spark, d, *names)
+    tables.load(lambda df, name: written(df, d, f"star-{name}"), names or None)
+    return tables
 
 
 def _star_table(name: str) -> None:
+    dimensions = {"fact_churn_prediction": CHURN_TABLES[:2], "fact_complaints": COMPLAINT_TABLES[:2]}.get(name)
+
     def run(spark, d):
-        return text_dates(star_tables(spark, d)[0][name])
+        if name == "dim_state":
+            return star.dim_state(s.states(spark, d))
+        return text_dates((loaded(spark, d, *dimensions) if dimensions else star_tables(spark, d, name))[name])
     run.__name__ = name
     query(run)
 
@@ -426,12 +505,12 @@ for _name in star.PRIMARY_KEYS:
 
 @query
 def star_load_summary(spark, d):
-    return star_tables(spark, d)[1]
+    return loaded(spark, d).summary()
 
 
 @query
 def star_integrity(spark, d):
-    return star.integrity_checks(star_tables(spark, d)[0])
+    return star.integrity_checks(dict(loaded(spark, d)))
 
 
 @query
@@ -450,8 +529,12 @@ def date_keys(spark, d):
 
 
 def _report(name: str, function: Callable, *averages: str) -> None:
+    """A report over the tables that it reads, written and read back."""
+    names = CHURN_TABLES if averages else COMPLAINT_TABLES
+
     def run(spark, d):
-        register(star_tables(spark, d)[0])
+        tables = loaded(spark, d, *names)
+        register({n: tables[n] for n in names})
         return rounded(function(spark), *averages)
     run.__name__ = name
     query(run)
@@ -508,15 +591,26 @@ def model_inputs(spark, d):
         for n in wanted])
 
 
-@lru_cache(maxsize=1)
-def churn_run(spark, d):
+_RUNS: dict[tuple, object] = {}
+
+
+def _run(kind: str, spark, d: str, train: Callable):
+    """One training run of a kind and data set, for the life of the session that made it."""
+    key = (kind, spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        for other in [k for k in _RUNS if k[0] == kind]:
+            del _RUNS[other]
+        _RUNS[key] = train()
+    return _RUNS[key]
+
+
+def churn_run(spark, d) -> churn_model.ChurnTraining:
     """One training run on the written dataset, shared by the queries that look at it."""
-    return churn_model.train_churn(written(dataset(spark, d), d, "churn-dataset"))
+    return _run("churn", spark, d, lambda: churn_model.train_churn(written(dataset(spark, d), d, "churn-dataset")))
 
 
-@lru_cache(maxsize=1)
-def topic_run(spark, d):
-    return topic_model.train_topics(written(topic_texts(spark, d), d, "topic-texts"))
+def topic_run(spark, d) -> topic_model.TopicTraining:
+    return _run("topic", spark, d, lambda: topic_model.train_topics(written(topic_texts(spark, d), d, "topic-texts")))
 
 
 @query
@@ -557,3 +651,75 @@ def topic_report(spark, d):
 @query
 def topic_terms(spark, d):
     return topic_model.top_terms(topic_run(spark, d).model)
+
+
+# --- what training leaves behind, read back -----------------------------------
+
+@query
+def stored_scores(spark, d):
+    """Scores written and read back: everybody once, with label and split; probabilities are from 0 to 1."""
+    run = churn_run(spark, d)
+    stored = written(churn_model.score_customers(run.models[run.best], run.data), d, "churn-scores")
+    return stored.select("user_id", "state", "churned", "split",
+                         F.col("churn_probability").between(0, 1).alias("in_range"))
+
+
+@query
+def reloaded_model(spark, d):
+    """The model that is saved and loaded again gives every customer the score of the one that was fitted."""
+    run = churn_run(spark, d)
+    path = _folder(spark, d, "churn-model")
+    churn_model.save_model(run.models[run.best], path)
+    fitted = churn_model.score_customers(run.models[run.best], run.data)
+    again = churn_model.score_customers(churn_model.load_model(path), run.data).select(
+        "user_id", F.col("churn_probability").alias("_again"))
+    return fitted.join(again, "user_id").select("user_id", (F.col("churn_probability") == F.col("_again")).alias("same"))
+
+
+@query
+def training_supports(spark, d):
+    """Rows per class in the confusions of a run: all four models on validation, the chosen one on test."""
+    counts = churn_run(spark, d).confusion()
+    totals = counts.groupBy("split", "model", "actual").agg(F.sum("rows").alias("support"))
+    return totals.groupBy("split", "actual").agg(
+        F.count("*").alias("models"), F.min("support").alias("least"), F.max("support").alias("most"))
+
+
+@query
+def importance_names(spark, d):
+    """The features of the tree models: names in full, importances from 0 to 1 that add up to 1."""
+    weights = churn_run(spark, d).importances()
+    sums = weights.groupBy("model").agg((F.round(F.sum("importance"), 9) == 1).alias("whole"))
+    return weights.join(sums, "model").select(
+        "model", "feature", F.col("importance").between(0, 1).alias("in_range"), "whole")
+
+
+@query
+def importance_ranks(spark, d):
+    """The first 15 importances are the greatest ones: how many of the others exceed the least of them."""
+    run = churn_run(spark, d)
+    model = run.models["random_forest"]
+    top = churn_model.feature_importances(model, run.names)
+    every = churn_model.feature_importances(model, run.names, len(run.names))
+    least = top.agg(F.min("importance").alias("least"), F.count("*").alias("listed"))
+    return every.crossJoin(F.broadcast(least)).groupBy("listed").agg(
+        F.count_if(F.col("importance") > F.col("least")).alias("_greater"), F.count("*").alias("features")).select(
+        "listed", "features", (F.col("_greater") < F.col("listed")).alias("greatest"))
+
+
+@query
+def topic_term_counts(spark, d):
+    """The terms of each product, joined to one text: eight of the vocabulary, all different."""
+    run = topic_run(spark, d)
+    words = F.split("terms", ", ")
+    vocabulary = set(next(stage for stage in run.model.stages if hasattr(stage, "vocabulary")).vocabulary)
+    known = spark.createDataFrame([(w,) for w in vocabulary], "term string")
+    found = topic_model.top_terms(run.model).select(F.col("label").alias("product"), F.explode(words).alias("term"))
+    return found.join(known, "term").groupBy("product").agg(F.count_distinct("term").alias("terms"))
+
+
+@query
+def topic_supports(spark, d):
+    """Held-out texts per product, by the report of a training run."""
+    report = topic_run(spark, d).report()
+    return report.filter(~F.col("name").isin("accuracy", "macro avg", "weighted avg")).select("name", "support")

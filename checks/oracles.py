@@ -557,6 +557,40 @@ def _integrity() -> str:
 
 _BODIES["star_integrity"] = _integrity()
 
+_LABELED = "(select l.*, h.state, h.gender, h.traffic_source from churn_labels l join home h on h.id = l.user_id)"
+_SPLIT = (f"select l.*, p.split from {_LABELED} l join ("
+          + _split(_LABELED, "user_id", "churned", {"train": 600, "validation": 800}, "test")
+          + ") p on p.user_id = l.user_id")
+_FEATURES = (
+    f"select distinct 'gender=' || coalesce(gender, '(missing)') as feature from ({_SPLIT}) where split = 'train' "
+    f"union select 'state=' || coalesce(state, '(missing)') from ({_SPLIT}) where split = 'train' "
+    f"union select 'traffic_source=' || coalesce(traffic_source, '(missing)') from ({_SPLIT}) where split = 'train' "
+    + " ".join(f"union select '{c}'" for c in _NUMBERS))
+_STYLES = "(['plain', 'quoted', 'marked', 'swapped'])[complaint_id % 4 + 1]"
+_BODIES |= {
+    "complaint_headers": f"""
+        select {_STYLES} as style, count(*) as records, {_STYLES} = 'swapped' as refused from complaints group by 1""",
+    "refused_file": "select count(*) as complaints, 'swapped' as refused from complaints",
+    "bronze_once": "select lang, count(*) as first_rows, count(*) as second_rows from documents group by lang",
+    "word_keys": r"""
+        select word, row_number() over (order by word) as word_sk
+        from (select distinct unnest(regexp_extract_all(text, '[^ \t\n\r]+')) as word from documents)""",
+    "stored_scores": f"select user_id, state, churned, split, true as in_range from ({_SPLIT})",
+    "reloaded_model": f"select user_id, true as same from {_LABELED}",
+    "training_supports": f"""
+        select split, churned as actual, case split when 'validation' then 4 else 1 end as models,
+               count(*) as least, count(*) as most
+        from ({_SPLIT}) where split <> 'train' group by split, churned""",
+    "importance_names": f"""
+        select model, feature, true as in_range, true as whole
+        from ({_FEATURES}), (values ('random_forest'), ('gradient_boosting')) m(model)""",
+    "importance_ranks": f"select 15 as listed, count(*) as features, true as greatest from ({_FEATURES})",
+    "topic_term_counts": "select distinct product, 8 as terms from cleaned",
+    "topic_supports": "select product as name, count(*) as support from ("
+    + _split("(select complaint_id, product from cleaned)", "complaint_id", "product", {"train": 800}, "test")
+    + ") where split = 'test' group by product",
+}
+
 
 def oracles() -> dict[str, str]:
     return {name: _merge(with_steps(body), body) for name, body in _BODIES.items()}

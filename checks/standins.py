@@ -113,7 +113,11 @@ def scores(spark, folder, cutoff) -> DataFrame:
     """A made-up but deterministic score per labeled customer, with ties."""
     labels = label_churn(orders(spark, folder), cutoff)
     people = home(spark, folder).selectExpr("id as user_id", "state")
-    return labels.join(people, "user_id").selectExpr(
+    return made_up_scores(labels.join(people, "user_id"))
+
+
+def made_up_scores(labeled) -> DataFrame:
+    return labeled.selectExpr(
         "user_id", "case when user_id % 40 = 0 then 'Nowhere' else state end as state", "churned",
         "(user_id * 7919 % 1000) / 1000.0D as churn_probability",
         "case user_id % 5 when 0 then 'test' when 1 then 'validation' else 'train' end as split")

@@ -41,7 +41,7 @@ def main() -> None:
             spark, a.complaints, a.out, not a.one_task_csv, a.legacy_regex),
         "churn-model": lambda: jobs.train_churn_model(spark, a.out, a.models),
         "topic-model": lambda: jobs.train_topic_model(spark, a.out, a.models),
-        "star": lambda: jobs.build_star(spark, a.raw, a.out, a.window_days),
+        "star": lambda: jobs.build_star(spark, a.out),
         "report": lambda: jobs.reports(spark, a.out, a.top),
         "inspect": lambda: jobs.inspect_models(spark, a.out, a.models),
     }

@@ -8,7 +8,7 @@ buckets again, so nothing has to be pinned in place between the steps.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,6 +51,82 @@ def quantile_bounds(df: DataFrame, column: str, buckets: int) -> list:
     return sorted(set(found)) if found else []
 
 
+def text_bounds(df: DataFrame, column: str, buckets: int, each: int = 50) -> list[str]:
+    """Runs two scans; bounds that cut distinct texts into about equal buckets.
+
+    They come from about ``each`` texts a bucket, chosen by hash, so that the same ones
+    are chosen every time.
+    """
+    count = df.count()
+    share = min(1.0, each * buckets / max(1, count))
+    some = df.filter((F.xxhash64(column) / F.lit(2.0**64)) + 0.5 < share) if share < 1 else df
+    found = sorted((r[0] for r in some.select(column).distinct().collect() if r[0] is not None),
+                   key=lambda text: text.encode())
+    return sorted({found[len(found) * i // buckets] for i in range(1, buckets)}, key=lambda t: t.encode()) if found else []
+
+
+def values_at_ranks(
+    df: DataFrame, ranks: Mapping[str, Callable[[int], Sequence[int]]], most: int = 100_000, margin: float = 0.0005,
+) -> dict[str, list]:
+    """The exact values at some 1-based ranks of the sorted non-null values of each column.
+
+    ``ranks`` maps a column to its ranks, as a function of how many values there are. Each
+    round brackets the ranks of all columns by a mergeable quantile sketch, then
+    counts what lies below and inside; no more than ``most`` distinct values of the last
+    bracket, with their counts, reach the driver. There is no sort and no window.
+    """
+    counts = df.agg(*[F.count(c).alias(c) for c in ranks]).first()
+    wanted = {c: list(of(counts[c])) if counts[c] else [] for c, of in ranks.items()}
+    low: dict[str, object] = {}
+    high: dict[str, object] = {}
+    below, inside = dict.fromkeys(ranks, 0), {c: counts[c] for c in ranks}
+    open_ = [c for c in ranks if wanted[c] and inside[c] > most]
+
+    def within(c: str) -> Column:
+        held = F.col(c).isNotNull()
+        if c in low:
+            held = held & (F.col(c) >= F.lit(low[c])) & (F.col(c) <= F.lit(high[c]))
+        return held
+
+    while open_:
+        shares = {c: (max(0.0, (min(wanted[c]) - below[c]) / inside[c] - margin),
+                      min(1.0, (max(wanted[c]) - below[c]) / inside[c] + margin)) for c in open_}
+        spans = df.agg(*[F.percentile_approx(F.when(within(c), F.col(c)), list(shares[c]), 10_000).alias(c)
+                         for c in open_]).first()
+        cells = []
+        for c in open_:
+            a, b = F.lit(spans[c][0]), F.lit(spans[c][1])
+            held = F.col(c).between(a, b)
+            cells.append(F.struct(F.count_if(F.col(c) < a).alias("below"), F.count_if(held).alias("inside"),
+                                  F.approx_count_distinct(F.when(held, F.col(c))).alias("different")).alias(c))
+        found, left = df.agg(*cells).first(), []
+        for c in open_:
+            n, m = found[c]["below"], found[c]["inside"]
+            if not (n < min(wanted[c]) and max(wanted[c]) <= n + m):
+                margin *= 4  # beside the bracket, which the sketch's error makes next to impossible
+                left.append(c)
+                continue
+            shrunk = m < inside[c]
+            low[c], high[c], below[c], inside[c] = spans[c][0], spans[c][1], n, m
+            if found[c]["different"] > most and shrunk and spans[c][0] != spans[c][1]:
+                left.append(c)
+        open_ = left
+    usable = [c for c in ranks if wanted[c]]
+    result: dict[str, list] = {c: [] for c in ranks}
+    for c in usable:
+        table = df.filter(within(c)).groupBy(c).agg(F.count("*").alias("rows")).toArrow()
+        pairs = sorted(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+        upto, at = below[c], 0
+        reached = []
+        for value, rows in pairs:
+            upto += rows
+            reached.append((upto, value))
+        for rank in wanted[c]:
+            at = next(i for i, (n, _) in enumerate(reached) if n >= rank)
+            result[c].append(reached[at][1])
+    return result
+
+
 def bucket_offsets(
     df: DataFrame, order_by: str, sums: Sequence[str], by: Sequence[str] = (),
     descending: bool = False, buckets: int | None = None, raw: DataFrame | None = None,
@@ -61,7 +137,9 @@ def bucket_offsets(
     distinct values per bucket as well, and need no shuffle.
     """
     source = df if raw is None else raw
-    bounds = quantile_bounds(source, order_by, buckets or bucket_count(df.sparkSession))
+    count = buckets or bucket_count(df.sparkSession)
+    kind = dict(source.dtypes)[order_by]
+    bounds = (text_bounds if kind == "string" else quantile_bounds)(source, order_by, count)
     tagged = df.withColumn("_bucket", search_tree(F.col(order_by), bounds))
     keys = list(by) or [F.lit(0)]
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
@@ -88,7 +166,7 @@ def running_totals(
 ) -> DataFrame:
     """Adds ``cum_<c>`` and ``all_<c>`` for each column in ``sums``.
 
-    ``order_by`` must be numeric or a date/time, distinct within each group of
+    ``order_by`` must be numeric, a date/time or a text, distinct within each group of
     ``by`` (aggregate first), so that equal values cannot pile up in a bucket.
     Runs ``df``, or ``raw`` (see ``bucket_offsets``), once for the bounds.
     """
@@ -104,7 +182,7 @@ def running_totals(
 
 
 def number_rows(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
-    """Adds ``name``: 1, 2, 3, ... in the order of the unique numeric ``key``."""
+    """Adds ``name``: 1, 2, 3, ... in the order of the unique ``key``, a number or a text."""
     counted = running_totals(df.withColumn("_one", F.lit(1)), key, ["_one"], buckets=buckets)
     return counted.select(F.col("cum__one").alias(name), *df.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshore.functions.columns import exact_share, rank_at, stable_hash
-from tallyshore.operators.ordered import bucket_offsets, hash_cuts, pin_small, pin_value
+from tallyshore.operators.ordered import hash_cuts, pin_small, values_at_ranks
 
 SALT = "42"
 CHURN_SHARES = {"train": 0.6, "validation": 0.2, "test": 0.2}
@@ -63,28 +63,30 @@ def top_share(
 ) -> DataFrame:
     """The ``ceil(share * n)`` rows with the highest score; ties go by hashed id.
 
-    Scores are counted first. Bucket totals tell which bucket holds the limit, and
-    only that one is sorted. If the score at the limit is shared, a hash limit is
-    found among its rows. No global sort.
+    The limit is found by bracketing its rank, without a sort; if the score there is
+    shared, so is the limit among the hashes of its rows. The rows are then only compared.
     """
-    counts = scored.groupBy(score).agg(F.count("*").alias("rows"))
-    tagged, offsets = bucket_offsets(counts, score, ["rows"], descending=True, raw=scored)
-    wanted = rank_at(exact_share(share), "all_rows")
-    need = wanted - F.col("_before_rows")
-    hit = pin_small(offsets.filter(need.between(1, F.col("_in_rows"))))
-    upto = Window.partitionBy("_bucket").orderBy(F.desc(score)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    edge = (
-        tagged.join(hit, "_bucket")
-        .withColumn("_need", need - (F.sum("rows").over(upto) - F.col("rows")))
-        .filter("_need between 1 and rows")
-        .select(score, "_need").first()
-    )
-    if edge is None:
+    share_, found = exact_share(share), {}
+
+    def rank(n: int) -> list[int]:
+        found["n"] = n
+        found["wanted"] = -(-share_.numerator * n // share_.denominator)
+        return [n - found["wanted"] + 1] if found["wanted"] else []
+
+    (limits,) = values_at_ranks(scored.select(score), {score: rank}).values()
+    if not limits:
         return scored.limit(0)
-    limit, need = F.lit(edge[0]), edge[1]
+    limit = F.lit(limits[0])
     hashed = scored.withColumn("_hash", stable_hash(salt, id_col))
-    tied = hashed.filter(F.col(score) == limit).select(F.lit(0).alias("_all"), "_hash")
-    cut = pin_value(hash_cuts(tied, "_hash", "_all", {"edge": F.lit(need)}).select("edge"))
-    chosen = (F.col(score) > limit) | ((F.col(score) == limit) & (F.col("_hash") <= cut))
+    above, at = scored.agg(F.count_if(F.col(score) > limit), F.count_if(F.col(score) == limit)).first()
+    need = found["wanted"] - above
+    if need == at:
+        return scored.filter(F.col(score) >= limit)
+    tied = hashed.filter(F.col(score) == limit).select(
+        "_hash", F.conv(F.substring("_hash", 1, 15), 16, 10).cast("long").alias("_head"))
+    (heads,) = values_at_ranks(tied, {"_head": lambda n: [need]}).values()
+    earlier = tied.filter(F.col("_head") < heads[0]).count()
+    # rows that share 60 bits of their hash: one, but for chance
+    last = tied.filter(F.col("_head") == heads[0]).orderBy("_hash").limit(need - earlier).agg(F.max("_hash")).first()[0]
+    chosen = (F.col(score) > limit) | ((F.col(score) == limit) & (F.col("_hash") <= last))
     return hashed.filter(chosen).drop("_hash")

@@ -6,7 +6,7 @@ can look it up by name and the other by code and both get the same key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,19 +49,20 @@ def us_states(spark: SparkSession) -> DataFrame:
 
 
 def _numbered(df: DataFrame, name: str, order: str) -> DataFrame:
-    """1-based keys by natural order, for dimensions of a few thousand rows at most."""
-    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order))
-    return df.select(number.alias(name), *df.columns)
+    """1-based int keys by natural order, of any number of rows."""
+    return number_rows(df, order, name).withColumn(name, F.col(name).cast("int"))
 
 
 def dim_state(states: DataFrame) -> DataFrame:
-    return _numbered(states.select("state_code", "state_name").distinct(), "state_sk", "state_code")
+    """States numbered by code; a few dozen rows, so in one small window."""
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("state_code"))
+    return states.select("state_code", "state_name").distinct().select(number.alias("state_sk"), "*")
 
 
 def dim_product(stats: DataFrame) -> DataFrame:
     names = stats.select(F.col("product").alias("product_name")).filter(
         F.col("product_name").isNotNull()).distinct()
-    return _numbered(names, "product_sk", "product_name")
+    return _numbered(pin_small(names), "product_sk", "product_name")
 
 
 def dim_date(stats: DataFrame, scoring_date: Column) -> DataFrame:
@@ -118,62 +119,118 @@ CHURN_KEYS = ("user_sk", "state_sk")
 COMPLAINT_KEYS = ("state_sk", "product_sk", "date_sk")
 
 
-def load_summary(
-    tables: Mapping[str, DataFrame], sources: Mapping[str, tuple[DataFrame, tuple[str, ...]]]
-) -> DataFrame:
-    """table_name, rows, dropped. ``sources`` gives the facts before unresolved rows left."""
-    parts = [df.agg(F.count("*").alias("rows")).select(
-        F.lit(name).alias("table_name"), "rows", F.lit(0).cast("long").alias("dropped"))
-        for name, df in tables.items() if name not in sources]
-    for name, (df, keys) in sources.items():
-        complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-        parts.append(df.agg(F.count_if(complete).alias("rows"),
-                            F.count_if(~complete).alias("dropped"))
-                     .select(F.lit(name).alias("table_name"), "rows", "dropped"))
-    return reduce(DataFrame.unionByName, parts)
+class Star(Mapping):
+    """The six served tables, dimensions first, each worked out when it is asked for.
+
+    Facts look their keys up in the dimensions of this mapping: those that were put
+    in by ``keep`` once they are written, else the frames that define them.
+    """
+
+    def __init__(self, dataset: DataFrame, scores: DataFrame, stats: DataFrame, scoring_date: Column,
+                 states: DataFrame | None = None):
+        self._made: dict[str, DataFrame] = {}
+        self.scores, self.stats = scores, stats
+        small = us_states(stats.sparkSession) if states is None else states
+        self._makers = {
+            "dim_state": lambda: dim_state(small),
+            "dim_date": lambda: dim_date(stats, scoring_date),
+            "dim_customer": lambda: dim_customer(dataset),
+            "dim_product": lambda: dim_product(stats),
+            "fact_churn_prediction": lambda: resolved(
+                resolve_churn(scores, self["dim_customer"], self["dim_state"], scoring_date), CHURN_KEYS),
+            "fact_complaints": lambda: resolved(
+                resolve_complaints(stats, self["dim_state"], self["dim_product"]), COMPLAINT_KEYS),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def keep(self, name: str, written: DataFrame) -> None:
+        self._made[name] = written
+
+    def load(self, write: Callable[[DataFrame, str], DataFrame], names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+        """Writes tables by ``write``, which gives them back as written, dimensions before the facts that use them."""
+        for name in [n for n in self if names is None or n in names]:
+            self.keep(name, write(self[name], name))
+        return {name: self._made[name] for name in self if name in self._made}
+
+    def summary(self) -> DataFrame:
+        """table_name, rows, dropped. A fact has dropped the source rows that it lacks, as a lookup adds none."""
+        sources = {"fact_churn_prediction": self.scores, "fact_complaints": self.stats}
+        counts = [df.agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit(kind).alias("kind"), "n")
+            for kind, tables in (("rows", self), ("given", sources)) for name, df in tables.items()]
+        rows, given = (F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0)) for kind in ("rows", "given"))
+        return reduce(DataFrame.unionByName, counts).groupBy("table_name").agg(
+            rows.alias("rows"), F.greatest(given - rows, F.lit(0)).alias("dropped"))
 
 
 def build_star(
     dataset: DataFrame, scores: DataFrame, stats: DataFrame, scoring_date: Column,
     states: DataFrame | None = None,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The six served tables, dimensions first, and the load summary."""
-    small = pin_small(dim_state(us_states(stats.sparkSession) if states is None else states))
-    products = pin_small(dim_product(stats))
-    customers = dim_customer(dataset)
-    churn = resolve_churn(scores, customers, small, scoring_date)
-    complaints = resolve_complaints(stats, small, products)
-    tables = {
-        "dim_state": small,
-        "dim_date": dim_date(stats, scoring_date),
-        "dim_customer": customers,
-        "dim_product": products,
-        "fact_churn_prediction": resolved(churn, CHURN_KEYS),
-        "fact_complaints": resolved(complaints, COMPLAINT_KEYS),
-    }
-    sources = {"fact_churn_prediction": (churn, CHURN_KEYS),
-               "fact_complaints": (complaints, COMPLAINT_KEYS)}
-    return tables, load_summary(tables, sources)
+) -> tuple[Star, DataFrame]:
+    """The six served tables, and the load summary as of the frames that define them."""
+    tables = Star(dataset, scores, stats, scoring_date, states)
+    return tables, tables.summary()
+
+
+def _key_text(columns: Sequence[str]) -> Column:
+    """One text per key: each value with its length in front, so that no two keys share one; null has none."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.when(t.isNull(), "-").otherwise(F.concat(F.length(t), F.lit(":"), t)) for t in texts])
 
 
 def integrity_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """check_name, table_name, columns, violations. All violations are 0 in a sound load."""
-    parts = []
+    """check_name, table_name, columns, violations. All violations are 0 in a sound load.
+
+    Each table is read once. A row gives one cell for every constraint it takes
+    part in: the constraint, the key itself, and whether it owns the key, refers to
+    it, or lacks a value. All cells meet in one aggregate, merged before the shuffle.
+    Violations are keys that occur again, rows with a gap, and rows that refer to no key.
+    """
+    checks: list[tuple[int, str, str, str]] = []
+    cells: dict[str, list[Column]] = {table: [] for table in tables}
+
+    def add(check: str, table: str, columns: Sequence[str]) -> int:
+        checks.append((len(checks), check, table, ",".join(columns)))
+        return len(checks) - 1
 
-    def add(check: str, table: str, columns, counted: DataFrame) -> None:
-        parts.append(counted.select(
-            F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
-            F.lit(",".join(columns)).alias("columns"), "violations"))
+    def cell(table: str, number: int, key: Column, role: str, counts: Column | None = None) -> None:
+        made = F.struct(F.lit(number).alias("number"), key.alias("key"), *[
+            F.lit(int(r == role)).cast("long").alias(r) for r in ("owns", "refers", "lacks")])
+        cells[table].append(made if counts is None else F.when(counts, made))
 
     for check, keys in (("primary key", PRIMARY_KEYS), ("unique", UNIQUE_COLUMNS)):
         for table, columns in keys.items():
-            repeats = tables[table].groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1")
-            add(check, table, columns, repeats.agg(F.count("*").alias("violations")))
+            cell(table, add(check, table, columns), _key_text(columns), "owns")
     for table, columns in REQUIRED_COLUMNS.items():
         gaps = reduce(Column.__or__, [F.col(c).isNull() for c in columns])
-        add("not null", table, columns, tables[table].agg(F.count_if(gaps).alias("violations")))
+        cell(table, add("not null", table, columns), F.lit(""), "lacks", gaps)
     for (table, column), target in FOREIGN_KEYS.items():
-        orphans = tables[table].filter(F.col(column).isNotNull()).join(
-            tables[target].select(column), column, "left_anti")
-        add("foreign key", table, [column], orphans.agg(F.count("*").alias("violations")))
-    return reduce(DataFrame.unionByName, parts)
+        number = add("foreign key", table, [column])
+        cell(table, number, _key_text([column]), "refers", F.col(column).isNotNull())
+        cell(target, number, _key_text([column]), "owns")
+    kinds = ("owns", "refers", "lacks")
+    found = reduce(DataFrame.unionByName, [
+        df.select(F.explode(F.array_compact(F.array(*cells[name]))).alias("cell")).select("cell.*")
+        for name, df in tables.items()])
+    keyed = found.groupBy("number", "key").agg(*[F.sum(k).alias(k) for k in kinds])
+    listed = tables["dim_state"].sparkSession.createDataFrame(
+        checks, "number int, check_name string, table_name string, columns string")
+    repeated = (F.col("owns") > 1).cast("long")
+    orphans = F.when(F.col("owns") == 0, F.col("refers")).otherwise(0)
+    totals = keyed.groupBy("number").agg(
+        F.sum(repeated).alias("repeated"), F.sum(orphans).alias("orphans"), F.sum("lacks").alias("gaps"))
+    violations = (
+        F.when(F.col("check_name") == "foreign key", F.col("orphans"))
+        .when(F.col("check_name") == "not null", F.col("gaps")).otherwise(F.col("repeated")))
+    return listed.join(F.broadcast(totals), "number", "left").select(  # one row per constraint
+        "check_name", "table_name", "columns", F.coalesce(violations, F.lit(0)).cast("long").alias("violations"))

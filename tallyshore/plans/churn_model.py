@@ -17,11 +17,11 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import (
     OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyshore.operators import metrics
-from tallyshore.operators.ordered import pin_small
+from tallyshore.operators.ordered import pin_small, values_at_ranks
 from tallyshore.operators.split import stratified_split, with_weights
 from tallyshore.schemas import CATEGORICAL_COLUMNS
 from tallyshore.session import ensure_checkpoint_dir
@@ -41,40 +41,10 @@ def feature_columns(dataset: DataFrame) -> tuple[list[str], list[str]]:
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of many columns in two passes, however many distinct values.
-
-    The first pass brackets each median by approximate quantiles, the second
-    counts what lies below and sorts only the values inside the bracket.
-    """
-    margin, found = 0.001, {}
+    """Exact medians of many columns, all bracketed and counted in the same few passes, without a sort."""
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    spans = doubles.agg(*[
-        F.struct(F.count(c).alias("n"),
-                 F.percentile_approx(c, [0.5 - margin, 0.5 + margin], 10_000).alias("span"))
-        .alias(c) for c in columns]).first()
-    usable = [c for c in columns if spans[c]["n"]]
-    if not usable:
-        return dict.fromkeys(columns)
-    cells = doubles.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).alias("value"),
-                 F.lit(spans[c]["span"][0]).alias("low"), F.lit(spans[c]["span"][1]).alias("high"))
-        for c in usable]))).filter("value <= high")
-    # everything below the bracket is one step, so the rest is small
-    step = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    counts = cells.groupBy("name", step.alias("value")).agg(F.count("*").alias("rows"))
-    upto = Window.partitionBy("name").orderBy(F.asc_nulls_first("value")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    sizes = F.create_map(*[x for c in usable for x in (F.lit(c), F.lit(spans[c]["n"]))])
-    n = sizes[F.col("name")]
-    ranked = counts.withColumn("upto", F.sum("rows").over(upto))
-
-    def at(rank):
-        return F.min(F.when(F.col("upto") >= rank, F.col("value")))
-
-    lower, upper = F.floor((n + 1) / 2), F.floor(n / 2) + 1
-    middle = ranked.groupBy("name").agg(((at(lower) + at(upper)) / 2).alias("median"))
-    found = {r["name"]: r["median"] for r in middle.collect()}
-    return {c: found.get(c) for c in columns}
+    middle = values_at_ranks(doubles, {c: lambda n: [(n + 1) // 2, n // 2 + 1] for c in columns})
+    return {c: sum(found) / 2 if found else None for c, found in middle.items()}
 
 
 def fit_preprocessor(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str]):

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshore.operators import audit, churn, features, metrics, star, text
+from tallyshore.operators.ordered import pin_value
 from tallyshore.plans import churn_model, marts, topic_model
 from tallyshore.schemas import shop_tables
 from tallyshore.sources import readers, writers
@@ -13,18 +14,19 @@ from tallyshore.sources.multiline import read_complaints_split
 
 
 def build_dataset(spark: SparkSession, raw: str, out: str, window_days: int = 180) -> DataFrame:
-    """Raw shop tables to the churn dataset. Returns the summary of what was written."""
+    """Raw shop tables to the churn dataset, and the cutoff that it is as of. Returns the summary of what was written."""
     tables = {name: readers.read_shop_csv(spark, name, f"{raw}/{name}.csv")
               for name in ("users", "orders", "order_items", "products", "events")}
     dataset = features.churn_dataset(
         features.home_users(tables["users"]), tables["orders"], tables["order_items"],
         tables["products"], tables["events"], window_days)
+    writers.write_parquet(churn.cutoff_frame(tables["orders"], window_days), f"{out}/churn_cutoff")
     return features.dataset_summary(writers.write_parquet(dataset, f"{out}/churn_dataset"))
 
 
-def scoring_date(spark: SparkSession, raw: str, window_days: int = 180) -> Column:
-    """The day as of which customers are scored: the cutoff of the label."""
-    return churn.cutoff_date(readers.read_shop_csv(spark, "orders", f"{raw}/orders.csv"), window_days)
+def scoring_date(spark: SparkSession, out: str) -> Column:
+    """The day as of which customers are scored: the cutoff that was written with the dataset."""
+    return pin_value(spark.read.parquet(f"{out}/churn_cutoff"))
 
 
 def prepare_complaints(
@@ -76,16 +78,19 @@ def train_topic_model(spark: SparkSession, out: str, models: str, **sizes: int)
     return run.macro_f1()
 
 
-def build_star(spark: SparkSession, raw: str, out: str, window_days: int = 180) -> DataFrame:
-    """Datasets, scores and counts to the served tables. Returns the load summary."""
-    tables, summary = star.build_star(
+def build_star(spark: SparkSession, out: str) -> DataFrame:
+    """Datasets, scores and counts to the served tables. Returns the load summary.
+
+    Dimensions are written first, and the facts look their keys up in what was written.
+    """
+    tables = star.Star(
         spark.read.parquet(f"{out}/churn_dataset"), spark.read.parquet(f"{out}/churn_scores"),
-        spark.read.parquet(f"{out}/complaint_stats"), scoring_date(spark, raw, window_days))
-    written = writers.write_tables(tables, f"{out}/served")
-    broken = star.integrity_checks(written).filter("violations > 0")
-    if not broken.isEmpty():
-        raise ValueError(f"integrity: {[r.asDict() for r in broken.collect()]}")
-    return summary
+        spark.read.parquet(f"{out}/complaint_stats"), scoring_date(spark, out))
+    written = tables.load(lambda df, name: writers.write_parquet(df, f"{out}/served/{name}"))
+    broken = star.integrity_checks(written).filter("violations > 0").collect()
+    if broken:
+        raise ValueError(f"integrity: {[r.asDict() for r in broken]}")
+    return tables.summary()
 
 
 def open_served(spark: SparkSession, out: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,7 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshore.operators import metrics
+from tallyshore.operators.ordered import number_rows, values_at_ranks
 from tallyshore.operators.split import TOPIC_SHARES, stratified_split, with_weights
+from tallyshore.session import shared_folder
+from tallyshore.sources.writers import write_parquet
 
 # A word is a run of at least two letters, digits or underscores
 # of any script; the vocabulary keeps this many terms that occur in so many texts.
@@ -51,19 +55,33 @@ def vocabulary(terms: DataFrame, max_terms: int = MAX_TERMS, min_docs: int = MIN
     """term, total, docs: the most frequent terms, ties by term.
 
     One pass counts occurrences and documents together; both are merged on the
-    map side, so a very common term costs no more than others.
+    map side, so a very common term costs no more than others. The counts are written once. The least
+    total that gets in is found by rank, and among the terms that have it, they are
+    numbered in ranges: no task sorts, or holds, the terms of all the others.
     """
+    # an occurrence adds to the total; the first one in a text adds to the texts as well
     cells = F.concat(
-        F.transform("terms", lambda t: F.struct(
-            t.alias("term"), F.lit(1).alias("total"), F.lit(0).alias("docs"))),
-        F.transform(F.array_distinct("terms"), lambda t: F.struct(
-            t.alias("term"), F.lit(0).alias("total"), F.lit(1).alias("docs"))))
-    return (
-        terms.select(F.inline(cells))
-        .groupBy("term").agg(F.sum("total").alias("total"), F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= min_docs)
-        .orderBy(F.desc("total"), "term").limit(max_terms)
-    )
+        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(False).alias("first"))),
+        F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(True).alias("first"))))
+    counted = (
+        terms.select(F.inline(cells)).groupBy("term")
+        .agg(F.count_if(~F.col("first")).alias("total"), F.count_if("first").alias("docs"))
+        .filter(F.col("docs") >= min_docs))
+    spark = terms.sparkSession
+    counted = write_parquet(counted, f"{shared_folder(spark)}/terms-{uuid.uuid4().hex}")
+    found = {}
+
+    def last(count: int) -> list[int]:
+        found["count"] = count
+        return [count - max_terms + 1] if count > max_terms > 0 else []
+
+    (least,) = values_at_ranks(counted.select("total"), {"total": last}).values()
+    if not least:
+        return counted if found["count"] <= max_terms else counted.limit(0)
+    above = counted.filter(F.col("total") > least[0])
+    tied = counted.filter(F.col("total") == least[0])
+    places = number_rows(tied, "term", "_place").filter(F.col("_place") <= max_terms - above.count())
+    return above.unionByName(places.drop("_place"))
 
 
 def with_idf(vocabulary: DataFrame, texts: int) -> DataFrame:
@@ -78,9 +96,11 @@ def fit_tfidf(texts: DataFrame, stages: PipelineModel, max_terms: int = MAX_TERM
     The vocabulary, at most ``max_terms`` strings, is what comes to the driver.
     """
     found = with_idf(vocabulary(stages.transform(texts), max_terms, min_docs), texts.count())
-    rows = found.select("term", "idf").toArrow().to_pydict()
-    if not rows["term"]:
+    rows = found.select("term", "idf", "total").toPandas()
+    if not len(rows):
         raise ValueError(f"no term occurs in {min_docs} texts")
+    rows = rows.sort_values(["total", "term"], ascending=[False, True])
+    rows = {"term": rows["term"].tolist(), "idf": rows["idf"].tolist()}
     return PipelineModel(stages=[
         *stages.stages,
         CountVectorizerModel.from_vocabulary(rows["term"], inputCol="terms", outputCol="counts"),

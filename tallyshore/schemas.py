@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 
 # The column names, order and types of the raw shop exports.
 # NOT NULL states the intent; the CSV reader does not enforce it, so
-# sources.tables.missing_keys checks it.
+# sources.readers.missing_keys checks it.
 _SHOP_DDL = {
     "users": (
         "id BIGINT NOT NULL, first_name STRING, last_name STRING, email STRING, age INT, "

@@ -9,7 +9,6 @@ states by itself; the splits before it then pick the right one.
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -119,6 +118,24 @@ def parse_records(
     return parsed if keep_corrupt else parsed.drop(CORRUPT)
 
 
+def wrong_headers(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``file, header`` of the files whose first line doesn't name exactly ``columns``, in their order.
+
+    Every file is judged by itself and where its lines are. A byte order mark, a
+    carriage return at the end, and quotes around names make no difference.
+    """
+    first = lines.groupBy("file").agg(F.min_by("line", "seq").alias("header"))
+    plain = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), "\r$", "")
+    # a word behind the last name shows that there is none more, also no empty one
+    expected = [*columns, "end"]
+    fields = ", ".join(f"_{i} string" for i in range(len(expected)))
+    parsed = F.from_csv(F.concat(plain, F.lit(",end")), fields, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    same = F.lit(True)
+    for i, column in enumerate(expected):
+        same = same & parsed[f"_{i}"].eqNullSafe(F.lit(column))
+    return first.filter(~F.coalesce(same, F.lit(False)))
+
+
 def read_complaints_split(
     spark: SparkSession, path: str, staging: str, keep_corrupt: bool = False
 ) -> DataFrame:
@@ -129,11 +146,9 @@ def read_complaints_split(
     file is compared with the expected one.
     """
     lines = stage_lines(spark, path, staging)
-    first = lines.groupBy("file").agg(F.min("seq").alias("seq")).select("seq")
-    for row in lines.join(first, "seq").select("line").distinct().limit(2).collect():
-        header = next(csv.reader([row["line"].rstrip("\r").removeprefix("\ufeff")]), [])
-        if header != list(COMPLAINT_COLUMNS):
-            raise ValueError(f"unexpected header {header}")
+    wrong = wrong_headers(lines, list(COMPLAINT_COLUMNS)).orderBy("file").first()
+    if wrong:
+        raise ValueError(f"unexpected header in {wrong['file']}: {wrong['header']}")
     types = ["bigint" if c == "Complaint ID" else "string" for c in COMPLAINT_COLUMNS]
     return name_complaint_columns(
         parse_records(csv_records(lines), list(COMPLAINT_COLUMNS), types, keep_corrupt))

@@ -139,6 +139,29 @@ def test_split_reader_rejects_open_quotes_and_wrong_headers(spark, tmp_path):
         multiline.read_complaints_split(spark, str(both), str(tmp_path / "l2"))
 
 
+def test_every_header_is_judged_however_it_is_spelled(spark, tmp_path):
+    """Many valid spellings don't hide a wrong one, wherever it stands in the order of files and headers."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    plain, quoted = ",".join(HEADER), ",".join(f'"{h}"' for h in HEADER)
+    valid = [plain, plain + "\r", "\ufeff" + plain, "\ufeff" + quoted + "\r", quoted, quoted.replace('"', "", 2)]
+    record = ",".join(str(f) for f in complaint(1, "text"))
+    for i, header in enumerate(valid):
+        (folder / f"a{i}.csv").write_text(f"{header}\n{record}\n", encoding="utf-8", newline="")
+    lines = multiline.stage_lines(spark, str(folder), str(tmp_path / "l1"))
+    assert multiline.wrong_headers(lines, HEADER).collect() == []
+    assert multiline.read_complaints_split(spark, str(folder), str(tmp_path / "l2")).count() == len(valid)
+    wrong = {"b_swapped": ",".join([HEADER[1], HEADER[0], *HEADER[2:]]), "b_short": ",".join(HEADER[:-1]),
+             "a0_long": plain + ",more", "z_trailing": plain + ",", "0_empty": ""}
+    for name, header in wrong.items():
+        (folder / f"{name}.csv").write_text(f"{header}\n{record}\n")
+    lines = multiline.stage_lines(spark, str(folder), str(tmp_path / "l3"))
+    found = {r.file.rsplit("/", 1)[1].removesuffix(".csv") for r in multiline.wrong_headers(lines, HEADER).collect()}
+    assert found == set(wrong)
+    with pytest.raises(ValueError, match="0_empty"):
+        multiline.read_complaints_split(spark, str(folder), str(tmp_path / "l4"))
+
+
 def test_unparsable_rows_are_kept_and_quarantined(spark, tmp_path):
     rows = [complaint("oops", "text"), complaint(5, "fine")]
     path = write_csv(tmp_path / "c.csv", rows)

@@ -1,7 +1,9 @@
 """Splits, ranks, weights and metrics against brute force, with hot values."""
 
 import hashlib
+import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +141,34 @@ def test_histogram_lists_empty_bins_and_closes_the_last(spark):
     assert sum(r.rows for r in got if r.g == "y") == 1
     whole = {r.bin: r.rows for r in metrics.histogram(df, "v", 3).collect()}
     assert whole == {1: 3, 2: 1, 3: 1}
+
+
+def test_values_at_ranks_equal_a_sort(spark):
+    """Ties at the ends, nulls, few and many distinct values, and brackets that are narrowed again and again."""
+    rng = random.Random(21)
+    rows = [(rng.gauss(0, 1), rng.choice([1.0, 2.0, 2.0, 2.0, None]), i % 7, None) for i in range(5_000)]
+    df = spark.createDataFrame(rows, "a double, b double, c long, d double").repartition(3)
+    ranks = {c: lambda n: [1, (n + 1) // 2, n] for c in "abcd"}
+    for most in (100_000, 50, 3):
+        got = ordered.values_at_ranks(df, ranks, most=most)
+        for at, c in enumerate("abcd"):
+            column = sorted(r[at] for r in rows if r[at] is not None)
+            assert got[c] == ([column[0], column[(len(column) + 1) // 2 - 1], column[-1]] if column else [])
+
+
+def test_numbers_follow_the_order_of_texts(spark):
+    rng = random.Random(22)
+    words = {"".join(rng.choices("abcé語😀 ", k=rng.randint(0, 6))) for _ in range(4_000)}
+    df = spark.createDataFrame([(w,) for w in words], "word string").repartition(3)
+    got = {r.word: r.place for r in ordered.number_rows(df, "word", "place", buckets=16).collect()}
+    assert got == {w: i + 1 for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
+
+
+def test_top_share_cuts_ties_by_hash(spark):
+    rows = [(i, float(i % 3)) for i in range(999)]
+    df = spark.createDataFrame(rows, "id long, score double").repartition(4)
+    for share in (0.0, 0.001, 0.2, 1 / 3, 0.5, 1.0):
+        want = sorted(rows, key=lambda r: (-r[1], hashlib.md5(f"42|{r[0]}".encode()).hexdigest()))
+        count = math.ceil(Fraction(repr(share)) * len(rows))
+        got = {r.id for r in split.top_share(df, "id", "score", share).collect()}
+        assert got == {r[0] for r in want[:count]}

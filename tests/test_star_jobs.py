@@ -147,7 +147,7 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
 
     assert jobs.train_topic_model(spark, out, models, min_docs=2).first().macro_f1 > 0.9
 
-    loaded = {r.table_name: r for r in jobs.build_star(spark, str(raw), out).collect()}
+    loaded = {r.table_name: r for r in jobs.build_star(spark, out).collect()}
     assert loaded["fact_churn_prediction"].rows == summary.customers
     assert loaded["fact_complaints"].dropped == 0
     reports = jobs.reports(spark, out, top=5)
