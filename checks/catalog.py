@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from checks import standins as s
 from tallyshore.functions.columns import age_group, date_key, in_sample, squeeze_text
 from tallyshore.operators import audit, churn, features, metrics, split, star, text
 from tallyshore.operators.ordered import number_rows
+from tallyshore.operators.split import with_weights
 from tallyshore.plans import churn_model, marts, topic_model
 from tallyshore.schemas import COMPLAINT_COLUMNS, shop_schema
 from tallyshore.session import shared_folder
@@ -653,6 +655,43 @@ def topic_terms(spark, d):
     return topic_model.top_terms(topic_run(spark, d).model)
 
 
+@query
+def forest_depths(spark, d):
+    """Validation scores of forests by depth: which are worked out, and whether deeper ones have no fewer nodes."""
+    data = written(dataset(spark, d), d, "forest-depths")
+    scores = written(churn_model.forest_depths(data, depths=(2, 5, 10), trees=20), d, "forest-scores")
+    wider = scores.alias("one").join(
+        scores.select(F.col("depth").alias("less"), F.col("nodes").alias("fewer")), F.col("less") < F.col("depth"), "left")
+    return wider.groupBy("depth").agg(
+        F.coalesce(F.every(F.col("fewer") <= F.col("nodes")), F.lit(True)).alias("grown"),
+        F.every(F.col("roc_auc").between(0, 1) & F.col("pr_auc").between(0, 1)).alias("in_range"))
+
+
+@query
+def churn_regression_fit(spark, d):
+    """The binary model of one feature, the number of orders: intercept and coefficient."""
+    vector = VectorAssembler(inputCols=["order_count"], outputCol="features")
+    data = written(vector.transform(with_weights(dataset(spark, d), churn_model.TARGET)), d, "one-feature")
+    fitted = churn_model.candidate_models(data.count())["logistic_regression"].fit(data)
+    return rounded(spark.createDataFrame(
+        [("intercept", fitted.intercept), ("order_count", float(fitted.coefficients[0]))],
+        "term string, coefficient double"), "coefficient", digits=3)
+
+
+@query
+def topic_regression_fit(spark, d):
+    """The multinomial model of two terms, English against the rest: a row per class."""
+    docs = s.table(spark, d, "documents").filter("lang is not null and text is not null").selectExpr(
+        "if(lang = 'en', 1, 0) as label", "double(contains(text, ' the ')) as the", "double(contains(text, ' and ')) as and")
+    vector = VectorAssembler(inputCols=["the", "and"], outputCol="features")
+    data = written(vector.transform(with_weights(docs, "label")), d, "two-terms")
+    fitted = topic_model.topic_regression(data.count()).fit(data)
+    terms, starts = fitted.coefficientMatrix.toArray().tolist(), fitted.interceptVector.toArray().tolist()
+    return rounded(spark.createDataFrame(
+        [(label, starts[label], *terms[label]) for label in (0, 1)],
+        "label int, intercept double, the double, and double"), "intercept", "the", "and", digits=3)
+
+
 # --- what training leaves behind, read back -----------------------------------
 
 @query

@@ -592,6 +592,51 @@ _BODIES |= {
 }
 
 
+def _newton(rows: str, penalty: float) -> str:
+    """``b0, b1, b2``: the weighted logistic fit of y on x1, x2 by Newton steps over counts of equal rows.
+
+    The loss is summed with weights that balance the two classes, plus penalty / 2 * (b1^2 + b2^2).
+    """
+    step = "select step, b0, b1, b2, y, x1, x2, w, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) as p from fit, cells"
+    minor = {
+        "d": "h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02)",
+        "d0": "g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)",
+        "d1": "h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)",
+        "d2": "h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)",
+    }
+    return f"""
+        with recursive counted as (select y, x1, x2, count(*) as n from ({rows}) group by y, x1, x2),
+        cells as (
+            select cast(y as double) as y, cast(x1 as double) as x1, cast(x2 as double) as x2,
+                   n * (sum(n) over ()) / (2.0 * sum(n) over (partition by y)) as w from counted),
+        fit as (
+            select 0 as step, 0.0::double as b0, 0.0::double as b1, 0.0::double as b2
+            union all
+            select step + 1, b0 - ({minor["d0"]}) / ({minor["d"]}), b1 - ({minor["d1"]}) / ({minor["d"]}),
+                   b2 - ({minor["d2"]}) / ({minor["d"]})
+            from (select step, b0, b1, b2, sum(w * (p - y)) as g0,
+                         sum(w * (p - y) * x1) + {penalty} * b1 as g1, sum(w * (p - y) * x2) + {penalty} * b2 as g2,
+                         sum(w * p * (1 - p)) as h00, sum(w * p * (1 - p) * x1) as h01, sum(w * p * (1 - p) * x2) as h02,
+                         sum(w * p * (1 - p) * x1 * x1) + {penalty} as h11, sum(w * p * (1 - p) * x1 * x2) as h12,
+                         sum(w * p * (1 - p) * x2 * x2) + {penalty} as h22
+                  from ({step}) where step < 25 group by step, b0, b1, b2))
+        select b0, b1, b2 from fit where step = 25"""
+
+
+# two classes share a multinomial penalty: each has half of the coefficients, with opposite signs
+_TERMS = _newton("""select (lang = 'en')::int as y, contains(text, ' the ')::int as x1, contains(text, ' and ')::int as x2
+                    from documents where lang is not null and text is not null""", 0.5)
+_BODIES |= {
+    "forest_depths": "select unnest([2, 5, 10]) as depth, true as grown, true as in_range",
+    "churn_regression_fit": f"""
+        select unnest(['intercept', 'order_count']) as term, unnest([round(b0, 3), round(b1, 3)]) as coefficient
+        from ({_newton("select churned as y, order_count as x1, 0 as x2 from dataset", 1.0)})""",
+    "topic_regression_fit": f"""
+        select label, round(side * b0, 3) as intercept, round(side * b1, 3) as the, round(side * b2, 3) as "and"
+        from ({_TERMS}), (values (0, -0.5), (1, 0.5)) sides(label, side)""",
+}
+
+
 def oracles() -> dict[str, str]:
     return {name: _merge(with_steps(body), body) for name, body in _BODIES.items()}
 

@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyshore.functions.columns import in_sample
 from tallyshore.operators import metrics
 from tallyshore.operators.ordered import pin_small, values_at_ranks
 from tallyshore.operators.split import stratified_split, with_weights
@@ -31,6 +32,8 @@ BASELINE = "always_churn_baseline"
 MISSING = "(missing)"
 SEED = 42
 ROWS_PER_PARTITION = 50_000
+# Boosting keeps a tenth of more than so many rows back to see when to stop.
+EARLY_STOP_ROWS, HELD_BACK, LEAST_GAIN = 10_000, 0.1, 1e-7
 
 
 def feature_columns(dataset: DataFrame) -> tuple[list[str], list[str]]:
@@ -73,9 +76,16 @@ def feature_names(preprocessor: PipelineModel, categorical, numeric) -> list[str
     return [f"{c}={v}" for c, values in zip(categorical, labels) for v in values] + list(numeric)
 
 
-def candidate_models(rows: int, trees: int = 300, max_depth: int = 10, rounds: int = 100) -> dict:
-    """The three real models. ``rows`` is the sum of the balanced weights."""
+def candidate_models(rows: int, trees: int = 300, max_depth: int = 10, rounds: int = 100,
+                     stop_early: bool | None = None) -> dict:
+    """The three real models. ``rows`` is the sum of the balanced weights.
+
+    ``stop_early``: boosting ends with the first round that gains nothing on the rows
+    marked ``held_back``, which it doesn't learn from. By default it does so on large data only.
+    """
     common = {"labelCol": TARGET, "weightCol": "weight", "featuresCol": "features"}
+    stop = rows > EARLY_STOP_ROWS if stop_early is None else stop_early
+    stopping = {"validationIndicatorCol": "held_back", "validationTol": LEAST_GAIN} if stop else {}
     return {
         # the penalty is 1/2 |w|^2 against the summed loss, which MLlib averages
         "logistic_regression": LogisticRegression(
@@ -85,7 +95,7 @@ def candidate_models(rows: int, trees: int = 300, max_depth: int = 10, rounds: i
             maxMemoryInMB=512, **common),
         "gradient_boosting": GBTClassifier(
             maxIter=rounds, stepSize=0.1, maxDepth=5, maxBins=255, minInstancesPerNode=20,
-            seed=SEED, maxMemoryInMB=512, checkpointInterval=10, **common),
+            seed=SEED, maxMemoryInMB=512, checkpointInterval=10, **stopping, **common),
     }
 
 
@@ -133,6 +143,38 @@ def predict(model: PipelineModel | None, name: str, df: DataFrame) -> DataFrame:
                          "probability", "prediction")
 
 
+def laid_out(preprocessor: PipelineModel, train: DataFrame, rows: int) -> DataFrame:
+    """Persisted training rows with weight, features and ``held_back``, in places that follow from their ids."""
+    return (
+        preprocessor.transform(with_weights(train, TARGET))
+        .select(ID, TARGET, "weight", "features", in_sample("held-back", ID, HELD_BACK).alias("held_back"))
+        .repartition(1 + rows // ROWS_PER_PARTITION, ID).sortWithinPartitions(ID)
+        .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def forest_depths(dataset: DataFrame, depths: Sequence[int] = (5, 10, 20, 30), trees: int = 300) -> DataFrame:
+    """depth, nodes, roc_auc, pr_auc: forests of several depths on the validation part of the usual split.
+
+    What ``max_depth`` is chosen by; each depth is a fit of its own on the same rows.
+    """
+    spark = dataset.sparkSession
+    ensure_checkpoint_dir(spark)
+    data = stratified_split(dataset, ID, TARGET)
+    train, validation = data.filter("split = 'train'"), data.filter("split = 'validation'")
+    preprocessor = fit_preprocessor(train, *feature_columns(dataset))
+    rows = train.count()
+    prepared = laid_out(preprocessor, train, rows)
+    guesses, nodes = [], []
+    for depth in depths:
+        fitted = candidate_models(rows, trees, depth)["random_forest"].fit(prepared)
+        nodes.append((str(depth), depth, fitted.totalNumNodes))
+        guesses.append(predict(PipelineModel(stages=[*preprocessor.stages, fitted]), str(depth), validation))
+    prepared.unpersist()
+    scores = metrics.ranking_metrics(reduce(DataFrame.unionByName, guesses), by=["model"])
+    sizes = spark.createDataFrame(nodes, "model string, depth int, nodes long")
+    return scores.join(F.broadcast(sizes), "model").select("depth", "nodes", "roc_auc", "pr_auc")
+
+
 def train_churn(
     dataset: DataFrame, trees: int = 300, max_depth: int = 10, rounds: int = 100,
 ) -> ChurnTraining:
@@ -149,11 +191,7 @@ def train_churn(
     categorical, numeric = feature_columns(dataset)
     preprocessor = fit_preprocessor(train, categorical, numeric)
     rows = train.count()
-    prepared = (
-        preprocessor.transform(with_weights(train, TARGET)).select(ID, TARGET, "weight", "features")
-        .repartition(1 + rows // ROWS_PER_PARTITION, ID).sortWithinPartitions(ID)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    prepared = laid_out(preprocessor, train, rows)
     models: dict[str, PipelineModel] = {
         name: PipelineModel(stages=[*preprocessor.stages, estimator.fit(prepared)])
         for name, estimator in candidate_models(rows, trees, max_depth, rounds).items()}

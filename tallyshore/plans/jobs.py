@@ -69,6 +69,14 @@ def train_churn_model(spark: SparkSession, out: str, models: str, **sizes: int)
     return run.validation
 
 
+def forest_depths(spark: SparkSession, out: str, models: str, **sizes) -> DataFrame:
+    """Forests of several depths on validation, written beside the models."""
+    scores = churn_model.forest_depths(spark.read.parquet(f"{out}/churn_dataset"), **sizes)
+    path = f"{models}/forest_depths"
+    writers.write_json(scores, path)
+    return spark.read.schema(scores.schema).json(path).orderBy("depth")
+
+
 def train_topic_model(spark: SparkSession, out: str, models: str, **sizes: int) -> DataFrame:
     """Trains on the written sample with current product names; writes model and report."""
     sample = text.recode_products(spark.read.parquet(f"{out}/complaints_sample"))

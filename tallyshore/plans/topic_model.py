@@ -123,6 +123,13 @@ class TopicTraining:
         return metrics.macro_f1(self.confusion)
 
 
+def topic_regression(rows: int, iterations: int = 1000) -> LogisticRegression:
+    """Multinomial regression whose penalty is 1/2 |w|^2 against the summed, balanced loss."""
+    return LogisticRegression(
+        family="multinomial", maxIter=iterations, regParam=1.0 / rows, standardization=False,
+        weightCol="weight", aggregationDepth=3)
+
+
 def train_topics(
     sample: DataFrame, id_col: str = "complaint_id", stop_words: Sequence[str] | None = None,
     max_terms: int = MAX_TERMS, min_docs: int = MIN_DOCS, iterations: int = 1000,
@@ -140,9 +147,7 @@ def train_topics(
         .repartition(1 + rows // TEXTS_PER_PARTITION, id_col)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    regression = LogisticRegression(
-        family="multinomial", maxIter=iterations, regParam=1.0 / rows, standardization=False,
-        weightCol="weight", aggregationDepth=3).fit(prepared)
+    regression = topic_regression(rows, iterations).fit(prepared)
     prepared.unpersist()
     naming = IndexToString(inputCol="prediction", outputCol="predicted_product",
                            labels=indexer.labels)

@@ -51,3 +51,13 @@ def test_baseline_and_best(spark):
     scores = spark.createDataFrame(
         [("always", 0.99), ("b", 0.7), ("a", 0.7), ("c", None)], "model string, roc_auc double")
     assert best_model(scores, "always").first().model == "a"
+
+
+def test_boosting_stops_by_rows_it_does_not_learn_from(spark):
+    _, _, df = points(spark)
+    marked = with_weights(df, "churned").withColumn("held_back", F.col("user_id") % 4 == 0)
+    small, large = (churn_model.candidate_models(n, rounds=40)["gradient_boosting"] for n in (10_000, 10_001))
+    assert not small.isDefined(small.validationIndicatorCol)
+    assert large.getValidationIndicatorCol() == "held_back"
+    estimator = churn_model.candidate_models(400, rounds=40, stop_early=True)["gradient_boosting"]
+    assert estimator.fit(marked).getNumTrees < 40
