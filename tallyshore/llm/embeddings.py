@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyshore.llm.common import Scratch, components
 
-TILE = 4096  # vectors in a tile
-ROWS = 256  # of a tile that are multiplied at a time
+TILE = 4096  # vectors in a tile, while there are few tiles
+TILE_BYTES = 1 << 25  # of doubles in a tile at most
+CELLS = 1 << 20  # cosines that are bounded at a time
 
 
 def quantize(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -40,8 +42,9 @@ def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tupl
     qb, sb, eb = quantize(b / norm_b[:, None])
     exact = np.float32 if a.shape[1] * 127 * 127 < 1 << 24 else np.float64
     right = qb.astype(exact).T.copy()
-    for start in range(0, len(a), ROWS):
-        part = slice(start, start + ROWS)
+    rows = max(1, CELLS // max(1, len(b)))
+    for start in range(0, len(a), rows):
+        part = slice(start, start + rows)
         bound = (qa[part].astype(exact) @ right).astype(np.float64)
         bound *= sa[part, None] * sb[None, :]
         bound += ea[part, None] + eb[None, :] * (1 + ea[part, None])
@@ -90,6 +93,16 @@ def _compare(group: pa.Table, threshold: float) -> pa.Table:
         "links": np.concatenate([links[counted], np.zeros(len(tied), np.int64)])})
 
 
+def tiles(vectors: int, width: int, tile: int, tasks: int) -> int:
+    """How many tiles to deal vectors into, each being sent to as many tasks as there are tiles.
+
+    No more than give every one of ``tasks`` some pairs of tiles, however many vectors there
+    are, until a tile would have more than ``TILE_BYTES``.
+    """
+    enough = min(-(-vectors // tile), math.isqrt(6 * tasks) + 1)
+    return max(1, enough, -(-vectors * 8 * width // TILE_BYTES))
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, tile: int = TILE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``embeddings``.
 
@@ -119,11 +132,12 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, tile: int =
         rows.filter("usable").groupBy("h1", "h2").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("copies"),
             F.any_value("vector").alias("vector")), "classes")
-    count = -(-classes.count() // tile)
-    spread = (F.xxhash64("rep", "h1") % count + count) % count
+    found = classes.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width")).first()
+    count = tiles(found.n, found.width, tile, int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = F.pmod(F.xxhash64("rep", "h1"), F.lit(count))
     numbered = classes.select(
         "rep", "copies", "vector", F.size("vector").alias("dim"), spread.cast("int").alias("tile"))
-    partners = F.transform(F.sequence(F.lit(0), F.lit(max(count - 1, 0))), lambda t: F.struct(
+    partners = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda t: F.struct(
         F.least(F.col("tile"), t).alias("one"), F.greatest(F.col("tile"), t).alias("two")))
     pairs = numbered.withColumn("pair", F.explode(partners)).select(
         "rep", "copies", "vector", "dim", "tile", "pair.one", "pair.two")
