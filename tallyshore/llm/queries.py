@@ -86,6 +86,22 @@ CATALOG = {f.__name__: f for f in (
     op10_bpe_round_trip, op11_orc_token_ids, op12_collocations, op13_fill_in_middle)}
 
 ORACLES = {
+    "op1_minhash_dedup": r"""
+with recursive sets as (
+  select doc_id, case when len(w) < 2 then w
+           else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end s
+  from (select doc_id, regexp_extract_all(translate(
+          coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w
+        from documents)),
+cells as (select doc_id, len(s) n, unnest(s) shingle from sets),
+links as materialized (
+  select a.doc_id a, b.doc_id b from cells a join cells b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach as (
+  select doc_id, doc_id root from sets
+  union select l.b, root from reach r join links l on l.a = r.doc_id)
+select doc_id, len(s)::bigint n_shingles, min(root) component_id, doc_id = min(root) kept
+from sets join reach using (doc_id) group by doc_id, s""",
     "op2_url_filters": r"""
 with raw as (
   select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end rest
@@ -103,6 +119,31 @@ select page_id, host, path,
   coalesce((select verdict from rules where (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
    order by length(rhost || rpath) desc, length(rhost) desc, verdict desc limit 1), 'allow') as verdict
 from parts""",
+    "op4_line_dedup": r"""
+with recursive places as (
+  select doc_id, unnest(range(len(l))) line_no, unnest(l) line
+  from (select doc_id, string_split(text, chr(10)) l from documents)),
+firsts as materialized (
+  select line, strlen(line) size, length(line) // 3 third, row_number() over (order by min(struct_pack(doc_id, line_no))) id,
+         min(struct_pack(doc_id, line_no)) place
+  from places where line <> '' group by line),
+-- two edits leave one of three parts as it is, so others need no distance
+parts3 as (
+  select *, left(line, third) one, substr(line, third + 1, third) two, substr(line, 2 * third + 1) three from firsts),
+links as materialized (
+  select a.id a, b.id b from parts3 a, (values (-2), (-1), (0), (1), (2)) gaps(gap), firsts b
+  where b.size = a.size + gap and a.id <> b.id
+    and case when contains(b.line, one) or contains(b.line, two) or contains(b.line, three)
+             then levenshtein(a.line, b.line) <= 2 else false end),
+reach as (
+  select id, id root from firsts
+  union select l.b, root from reach r join links l on l.a = r.id),
+parts as (select id, min(root) root from reach group by id),
+counts as (select a id, count(*) n from links group by a)
+select p.doc_id, line_no, c.place.doc_id class_doc_id, c.place.line_no class_line_no, coalesce(n, 0)::bigint n_links,
+  p.doc_id = c.place.doc_id and line_no = c.place.line_no kept
+from places p join firsts f using (line) join parts on parts.id = f.id join firsts c on c.id = parts.root
+left join counts on counts.id = f.id""",
     "op6_source_mix": r"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint size,
@@ -158,6 +199,21 @@ select l.doc_id, len(w)::bigint n_words, coalesce(n_base, 0)::bigint n_base, fir
   case when n_base > 0 then 1.0::double else coalesce(share, 0)::double end score
 from listed l left join base b on l.doc_id = b.doc_id left join more m on l.doc_id = m.doc_id""".replace(
         "@templates@", ",\n  ".join(f"('{label}', '{words}')" for label, words in licenses.TEMPLATES)),
+    "op8_embedding_dedup": r"""
+with recursive vectors as (
+  select vec_id, embedding::double[] e from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as materialized (
+  select a.vec_id a, b.vec_id b from vectors a, vectors b
+  where a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+reach as (
+  select vec_id, vec_id root from embeddings
+  union select l.b, root from reach r join links l on l.a = r.vec_id),
+parts as (select vec_id, min(root) component_id from reach group by vec_id),
+counts as (select a vec_id, count(*) n from links group by a)
+select vec_id, coalesce(n, 0)::bigint n_links, component_id, vec_id = component_id kept
+from embeddings join parts using (vec_id) left join counts using (vec_id)""",
     "op12_collocations": r"""
 with texts as (
   select coalesce(lang, 'und') lang,

@@ -463,3 +463,11 @@ def test_licenses_label_each_row_by_its_own_text(clashing):
     got = Counter((r.doc_id, r.n_words, r.labels) for r in licenses.scan(clashing).collect())
     assert got[None, 10, ""] == 1 and got[None, 8, "mit"] == 1
     assert sum(n for (_, _, labels), n in got.items() if labels) == 1
+
+
+def test_tiles_grow_with_vectors_only_once_they_are_full():
+    assert embeddings.tiles(0, 0, 4096, 12) == 1
+    assert embeddings.tiles(5_000, 64, 4096, 12) == 2
+    assert embeddings.tiles(50_000, 64, 4096, 12) == embeddings.tiles(500_000, 64, 4096, 12) == 9
+    full = embeddings.TILE_BYTES // (8 * 64)
+    assert embeddings.tiles(100 * full, 64, 4096, 12) == 100
