@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 from tallyshore.llm.common import Scratch, held_out, slices
 from tallyshore.llm.sampling import SAMPLE, labelled
 
-BITS = 18  # of the hash of an n-gram
-SIZES = (4, 5)  # characters in an n-gram
-KEPT = 1 << 11  # n-grams that the linear model weighs
+BITS = 20  # of the hash of an n-gram
+SIZES = (3, 4, 5, 6)  # characters in an n-gram
+KEPT = 1 << 11  # n-grams that the linear model weighs, unless told otherwise
 SMOOTH, RIDGE, STEPS = 1.0, 1e-4, 300
 
 
-def ngrams(texts: list[str]) -> Iterator[np.ndarray]:
-    """Per text the sorted distinct hashes of its n-grams, in lower case, with a blank at both ends."""
+def _hashes(texts: list[str]) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """For each size the hash of the n-gram at each place of all texts, which end at the places given.
+
+    Texts are in lower case, with a blank at both ends; n-grams that run into the next text count for none.
+    """
     texts = [f" {t.lower()} " for t in texts]
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     hashes, rolled = {}, np.zeros(len(code), np.uint32)
@@ -30,9 +33,14 @@ def ngrams(texts: list[str]) -> Iterator[np.ndarray]:
             mixed = (rolled ^ (rolled >> np.uint32(15)) ^ np.uint32(n)) * np.uint32(0x85EBCA6B)
             mixed ^= mixed >> np.uint32(13)
             hashes[n] = (mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BITS)
+    return hashes, np.cumsum([len(t) for t in texts], dtype=np.int64)
+
+
+def ngrams(texts: list[str]) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct hashes of its n-grams."""
+    hashes, ends = _hashes(texts)
     seen, start = np.zeros(1 << BITS, bool), 0
-    for text in texts:
-        end = start + len(text)
+    for end in ends.tolist():
         for n in SIZES:
             seen[hashes[n][start:max(start, end - n + 1)]] = True
         found = np.flatnonzero(seen)
@@ -49,14 +57,28 @@ class Model:
     bias: float
 
     def score(self, texts: list[str]) -> np.ndarray:
-        logits = self.bias + np.array([self.weights[f].sum() for f in ngrams(texts)])
+        hashes, ends = _hashes(texts)
+        found = []
+        for n, own in hashes.items():
+            place = np.flatnonzero(self.weights[own])
+            text = np.searchsorted(ends, place, "right")
+            inside = place + n <= ends[text]
+            found.append(text[inside] << BITS | own[place[inside]].astype(np.int64))
+        once = np.unique(np.concatenate(found))
+        logits = self.bias + np.bincount(once >> BITS, self.weights[once & ((1 << BITS) - 1)], len(texts))
         return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
+def balance(label: np.ndarray) -> np.ndarray:
+    """A weight for each row, 1 in the mean, so that both labels weigh the same; there must be both."""
+    yes = label.mean()
+    return np.where(label == 1, 0.5 / yes, 0.5 / (1 - yes))
+
+
 def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: np.ndarray,
              width: int) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on sparse rows by accelerated gradient steps."""
-    count = len(label)
+    """Ridge logistic regression on sparse rows, balanced by label, by accelerated gradient steps."""
+    count, share = len(label), balance(label)
     weights, bias = np.zeros(width), 0.0
     ahead, ahead_bias = weights, bias
     # the largest eigenvalue of the Hessian is at most a quarter of the mean squared length
@@ -64,14 +86,14 @@ def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: n
     vector = np.ones(width + 1) / np.sqrt(width + 1)
     top = 1.0
     for _ in range(20):
-        out = np.bincount(rows, values * vector[columns], count) + vector[-1]
+        out = share * (np.bincount(rows, values * vector[columns], count) + vector[-1])
         vector = np.append(np.bincount(columns, values * out[rows], width), out.sum()) / count
         top = float(np.linalg.norm(vector))
         vector = vector / (top or 1.0)
     rate = 1 / (0.3 * top + RIDGE)
     for step in range(1, STEPS + 1):
         logits = np.bincount(rows, values * ahead[columns], count) + ahead_bias
-        error = 1 / (1 + np.exp(-np.clip(logits, -30, 30))) - label
+        error = share * (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - label)
         gradient = np.bincount(columns, values * error[rows], width) / count + RIDGE * ahead
         new, new_bias = ahead - rate * gradient, ahead_bias - rate * float(error.mean())
         speed = (step - 1) / (step + 2)
@@ -80,12 +102,12 @@ def logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, label: n
     return weights, bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", bound: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", bound: int = SAMPLE, kept: int = KEPT) -> Model:
     """Learns ``labels.<column>`` from at most about ``bound`` rows of the learning fold.
 
     Two passes over the sample: counts per n-gram and label, added up in tasks
-    and by n-gram; then, for the ``KEPT`` n-grams whose shares differ most between the
-    labels, which documents have them. Only those reach the driver: 2^18
+    and by n-gram; then, for the ``kept`` n-grams whose shares differ most between the
+    labels, which documents have them. Only those reach the driver: 2^20
     counts, and a few hundred numbers for each document of the bounded sample.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
@@ -121,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", bound: int =
     ratio = np.log(share_yes / share_no)
     both = (no + yes + 2 * SMOOTH) / (rows_no + rows_yes + 4 * SMOOTH)
     distance = np.abs(share_yes - share_no) / np.sqrt(both * (1 - both) + 1e-9)
-    order = np.lexsort((ngram, -distance))[:KEPT]
+    order = np.lexsort((ngram, -distance))[:kept]
     place = np.full(1 << BITS, -1, np.int32)
     place[ngram[order]] = np.arange(len(order))
 
@@ -147,12 +169,15 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row, from the whole text alone.
 
     Null and empty texts have a score as well: that of no n-gram but the blanks.
-    The model, 2 MB, goes to the executors once.
+    The weights that aren't 0, ``kept`` at most, go to the executors once.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    some = np.flatnonzero(model.weights)
+    sent = docs.sparkSession.sparkContext.broadcast((some, model.weights[some], model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*sent.value)
+        some, weights, bias = sent.value
+        model = Model(np.zeros(1 << BITS), bias)
+        model.weights[some] = weights
         for batch in batches:
             for part in slices(batch):
                 scores = model.score([t or "" for t in part.column("text").to_pylist()])
