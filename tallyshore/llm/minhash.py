@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tallyshore.llm.common import Scratch, components, mix, shingle_sets, shingles, slices
 
 BLOCK = 256  # members a leader is compared with in one task
-REST_BLOCK = 1024  # members of a block of a family
+SKETCH_BLOCK = (256, 4096)  # members of a block of sketches, at least and at most
+REST_BLOCK = (128, 1024, 1 << 20)  # the same of a block of texts, and their shingles together
 SALTS = 32  # tasks that the members of a family are spread over to learn its size
 NEAR = 30  # percent; two texts that link but meet in no bucket with a leader as near as this are next to impossible
 
@@ -134,31 +135,76 @@ def _confirm(pairs: DataFrame, pool: DataFrame, settings: Settings) -> DataFrame
     return dealt.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def _across(block: pa.Table, settings: Settings) -> pa.Table:
-    """What the links between two blocks of a family connect, as ``doc`` and a smaller ``b``.
+def _dealt(members: DataFrame, least: int, most: int, shingles_: int | None = None) -> DataFrame:
+    """``members`` once for each pair of blocks (``one``, ``two``) of their family that theirs (``block``) is in.
 
-    Only pairs in different parts with sketches that agree in enough places are
-    compared on whole sets, and none that earlier links have connected.
+    Families of one part have no rows. There are at most eight blocks, if none holds ``most`` members or
+    ``shingles_`` shingles then, about; more only as full ones need it. Members of a family are spread
+    over tasks where they learn its size.
     """
-    order = np.argsort(block["doc"].to_numpy(), kind="stable")
-    block = block.take(pa.array(order))
-    docs, parts = block["doc"].to_numpy(), block["part"].to_numpy()
-    sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(docs), -1)
-    own, one, two = (block[c].to_numpy() for c in ("block", "one", "two"))
+    sizes = members.groupBy("family").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("weight"), F.min("part").alias("low"),
+        F.max("part").alias("high")).filter("low <> high")
+    rows = F.least(F.lit(most), F.greatest(F.lit(least), F.ceil(F.col("n") / 8)))
+    blocks = F.ceil(F.col("n") / rows)
+    if shingles_:
+        blocks = F.greatest(blocks, F.ceil(F.col("weight") / shingles_))
+    salted = sizes.select(
+        "family", blocks.cast("int").alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    told = members.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "doc"), F.lit(SALTS)).cast("int")).join(
+        salted, ["family", "salt"]).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda t: F.struct(
+        F.least("block", t).alias("one"), F.greatest("block", t).alias("two")))
+    return told.withColumn("pair", F.explode(pairs)).select(
+        "doc", "family", "part", "block", "n_shingles", "sketch", "pair.one", "pair.two")
+
+
+def _near(block: pa.Table, settings: Settings) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member of block ``one`` with those of ``two`` of another part whose sizes and sketches allow a link."""
+    parts, sizes, own, one, two = (block[c].to_numpy() for c in ("part", "n_shingles", "block", "one", "two"))
+    sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(parts), -1)
     least = int(np.ceil(settings.sure_below * settings.bands * settings.rows))
-    label = np.unique(parts, return_inverse=True)[1].astype(np.int64)
-    texts, sets = block["text"], {}
+    right = np.flatnonzero(own == two)
+    right = right[np.argsort(sizes[right], kind="stable")]
+    for i in np.flatnonzero(own == one):
+        low = np.searchsorted(sizes[right], -(-settings.percent * sizes[i] // 100))
+        high = np.searchsorted(sizes[right], 100 * sizes[i] // settings.percent, "right")
+        some = right[low:high]
+        some = some[parts[some] != parts[i]]
+        yield i, some[(sketches[some] == sketches[i]).sum(axis=1) >= least]
+
+
+def _across(block: pa.Table, settings: Settings) -> pa.Table:
+    """What the links between two blocks of a family connect, as ``a`` and ``b``.
+
+    Of the pairs that sizes and sketches allow, none is compared that earlier links have connected.
+    Shared shingles are counted by their hashes, all candidates of a text at once, and
+    links confirmed on the shingles themselves.
+    """
+    block = block.take(pa.array(np.argsort(block["doc"].to_numpy(), kind="stable")))
+    docs, texts = block["doc"].to_numpy(), block["text"].combine_chunks()
+    hashed = shingle_sets(texts, settings.shingle)
+    at = np.concatenate([[0], np.cumsum([len(h) for h in hashed])])
+    names = np.unique(np.concatenate(hashed), return_inverse=True)[1]
+    label = np.unique(block["part"].to_numpy(), return_inverse=True)[1].astype(np.int64)
+    sets, linked, marked = {}, [], np.zeros(at[-1] + 1, bool)
 
     def whole(i: int) -> set:
         if i not in sets:
             sets[i] = shingles(texts[i].as_py(), settings.shingle)
         return sets[i]
 
-    right = np.flatnonzero(own == two)
-    linked = []
-    for i in np.flatnonzero(own == one):
-        equal = (sketches[right] == sketches[i]).sum(axis=1)
-        for j in right[(equal >= least) & (label[right] != label[i])]:
+    for i, near in _near(block, settings):
+        near = near[(label[near] != label[i]) & (at[near + 1] > at[near])]
+        if not len(near):
+            continue
+        sizes = at[near + 1] - at[near]
+        marked[names[at[i]:at[i + 1]]] = True
+        ends = np.cumsum(sizes)
+        shared = marked[names[np.arange(ends[-1]) + np.repeat(at[near] - (ends - sizes), sizes)]]
+        marked[names[at[i]:at[i + 1]]] = False
+        both = np.add.reduceat(shared, ends - sizes, dtype=np.int64)
+        for j in near[100 * both >= settings.percent * (at[i + 1] - at[i] + sizes - both)]:
             if label[i] == label[j]:
                 continue
             both = len(whole(i) & whole(j))
@@ -170,30 +216,33 @@ def _across(block: pa.Table, settings: Settings) -> pa.Table:
 
 
 def _rest(families: DataFrame, parts: DataFrame, sketches: DataFrame, pool: DataFrame,
-          settings: Settings) -> DataFrame:
+          scratch: Scratch, settings: Settings) -> DataFrame:
     """Links between the parts of a family, at most one for each text of a pair of blocks.
 
-    Each pair of blocks of a family with several parts is a group of bounded
-    size that holds texts and sketches, so that no pair of texts leaves a task
+    Blocks of sizes and sketches alone tell which members may link with one of another part.
+    Only their texts are dealt into blocks again, bounded by rows and by shingles, so that a
+    task holds little whatever the texts' lengths, and no pair leaves it
     but those that connect what wasn't.
     """
-    known = families.withColumnsRenamed({"node": "doc", "component": "family"}).join(
-        parts.withColumnsRenamed({"node": "doc", "component": "part"}), "doc", "left").select(
-        "doc", "family", F.coalesce("part", "doc").alias("part"))
-    mixed = known.groupBy("family").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).filter("low <> high")
-    blocks = F.ceil(F.col("n") / REST_BLOCK).cast("int")
-    salted = mixed.select("family", "n", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    dealt = known.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "doc"), F.lit(SALTS)).cast("int")).join(
-        salted, ["family", "salt"]).withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda t: F.struct(
-        F.least("block", t).alias("one"), F.greatest("block", t).alias("two")))
-    rows = (
-        dealt.withColumn("pair", F.explode(pairs)).join(sketches, "doc")
-        .join(pool.withColumnRenamed("doc_id", "doc"), "doc")
-        .select("doc", "family", "part", "block", "pair.one", "pair.two", "sketch", "text"))
-    return rows.groupBy("family", "one", "two").applyInArrow(
-        lambda block: _across(block, settings), "a long, b long")
+    known = scratch.keep(
+        families.withColumnsRenamed({"node": "doc", "component": "family"}).join(
+            parts.withColumnsRenamed({"node": "doc", "component": "part"}), "doc", "left")
+        .join(sketches, "doc").select("doc", "family", F.coalesce("part", "doc").alias("part"), "n_shingles", "sketch"),
+        "known")
+
+    def able(block: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64)]
+        for i, near in _near(block, settings):
+            if len(near):
+                found += [[i], near]
+        docs = block["doc"].to_numpy()[np.unique(np.concatenate(found)).astype(np.int64)]
+        return pa.table({"doc": pa.array(docs)})
+
+    group = ("family", "one", "two")
+    may = scratch.keep(
+        _dealt(known, *SKETCH_BLOCK).groupBy(*group).applyInArrow(able, "doc long").distinct(), "may")
+    rows = _dealt(known.join(may, "doc", "left_semi"), *REST_BLOCK).join(pool.withColumnRenamed("doc_id", "doc"), "doc")
+    return rows.groupBy(*group).applyInArrow(lambda block: _across(block, settings), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -204,7 +253,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
        meets the most others, is compared with all members on whole sets.
     3. Classes with similarity ``NEAR`` or more to a leader are one family. Families
        that fall into several parts are searched again, in blocks, for links
-       between the parts, on sketches first and then on whole sets.
+       between the parts: on sizes and sketches alone first, and then, for the members
+       that those allow a link, on whole sets.
 
     So a group of near copies gives a star, and more only where the star falls
     apart. Documents of null, empty or blank text link with nothing. A row
@@ -239,8 +289,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     if not compared.filter("not linked").isEmpty():
         families = components(compared.select("a", "b"), scratch, "families")
         sketches = usable.join(ranks, usable["doc_id"] == ranks["doc"], "left_semi").select(
-            F.col("doc_id").alias("doc"), "sketch")
-        more = scratch.keep(_rest(families, parts, sketches, pool, settings), "more")
+            F.col("doc_id").alias("doc"), "n_shingles", "sketch")
+        more = scratch.keep(_rest(families, parts, sketches, pool, scratch, settings), "more")
         if not more.isEmpty():
             parts = components(links.unionByName(more), scratch, "last")
     found = scratch.keep(
