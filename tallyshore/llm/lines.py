@@ -4,7 +4,7 @@ Of lines within ``edits`` of each other, one that is cut into edits + 1 segments
 keeps at least one of them whole, and the other line has it at nearly the same
 place. So each line is indexed by its segments, and looks up those of its
 substrings that may be a segment of a line of its own or a slightly smaller
-length. Edits are of UTF-8 bytes.
+length. Edits and lengths are of characters (code points).
 """
 
 from __future__ import annotations
@@ -23,12 +23,12 @@ from tallyshore.llm.common import Scratch, components, fresh, mix, slices, span_
 SEEN = 1_000_000  # lines that a task remembers so as not to send them again
 FILTER_BITS = 24
 CELLS = 1 << 22  # pairs of lines whose parities a task compares at a time
-_OTHER = np.random.default_rng(7).permutation(256).astype(np.uint8)
+_OTHER = np.random.default_rng(7).permutation(1 << 16).astype(np.uint32)
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Lines shorter than ``least`` bytes have no rows; those shorter than ``near`` are alike only if they are equal.
+    """Lines shorter than ``least`` characters have no rows; those shorter than ``near`` are alike only if they are equal.
 
     ``hot``: rows of a key that one task holds; with more, they are dealt into
     blocks of about ``block`` rows.
@@ -48,13 +48,22 @@ class Settings:
 
 #: Every line that isn't empty, and every pair of lines.
 ALL = Settings(least=1)
-#: What texts lose: lines of 24 bytes that are near an earlier one, shorter ones only if an earlier one is equal.
+#: What texts lose: lines of 24 characters that are near an earlier one, shorter ones only if an earlier one is equal.
 LOST = Settings(least=1, near=24)
 
 
-def spans(texts: pa.Array, least: int) -> tuple[np.ndarray, ...]:
-    """Bytes, starts and ends of the lines of at least ``least`` bytes, their texts and numbers in them."""
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of a string array and where each text begins; null is empty."""
     data, at = text_bytes(texts)
+    if not (data & 0x80).any():
+        return data.astype(np.uint32), at
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # a character starts with such a byte
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), before[at]
+
+
+def spans(texts: pa.Array, least: int) -> tuple[np.ndarray, ...]:
+    """Characters, starts and ends of the lines of at least ``least``, their texts and numbers in them."""
+    data, at = code_points(texts)
     breaks = np.flatnonzero(data == 10)
     starts = np.sort(np.concatenate([at[:-1][at[:-1] < at[1:]], breaks + 1]))
     starts = starts[starts < len(data)]
@@ -69,7 +78,7 @@ def spans(texts: pa.Array, least: int) -> tuple[np.ndarray, ...]:
 
 
 def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Start and size of each segment of lines of some lengths; the last ones are a byte longer."""
+    """Start and size of each segment of lines of some lengths; the last ones are a character longer."""
     size, rest = length // (edits + 1), length % (edits + 1)
     found, start = [], np.zeros_like(length)
     for i in range(edits + 1):
@@ -99,22 +108,22 @@ def lookups(length: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray
 
 
 def parity(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """64 bits, each the parity of how many neighboring bytes of a line hash to it; an edit flips four at most."""
-    pair = data[:-1].astype(np.uint64) << np.uint64(8) | data[1:].astype(np.uint64)
+    """64 bits, each the parity of how many neighboring characters of a line hash to it; an edit flips four at most."""
+    pair = data[:-1].astype(np.uint64) << np.uint64(32) | data[1:].astype(np.uint64)
     bit = np.uint64(1) << (mix(pair) >> np.uint64(58))
     sums = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(bit)]) if len(bit) else np.zeros(1, np.uint64)
     return sums[np.maximum(stops - 1, starts)] ^ sums[starts]
 
 
-def edit_distance(a: bytes, b: bytes, most: int) -> int:
+def edit_distance(a: str, b: str, most: int) -> int:
     """Edit distance, or ``most`` + 1 if it is larger, in a band of 2 * most + 1 diagonals.
 
-    Bit k of state e says that the first j of b's bytes and the first j + k - most of
+    Bit k of state e says that the first j of b's characters and the first j + k - most of
     a's can be matched with e edits.
     """
     if abs(len(a) - len(b)) > most:
         return most + 1
-    places: dict[int, int] = {}
+    places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << (i + most)
     mask = (1 << (2 * most + 1)) - 1
@@ -142,7 +151,7 @@ def occurrences(docs: DataFrame, settings: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(owner)), pa.array(number),
                     pa.array(span_hashes(data, starts, stops).view(np.int64)),
-                    pa.array(span_hashes(_OTHER[data], starts, stops).view(np.int64))],
+                    pa.array(span_hashes(_OTHER[data & 0xFFFF] | data & 0xFFFF0000, starts, stops).view(np.int64))],
                     ["doc_id", "line_no", "node", "other"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").mapInArrow(
@@ -301,9 +310,10 @@ def _texts(docs: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
                     seen.clear()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(nodes[found].view(np.int64)),
-                    pa.array([data[starts[k]:stops[k]].tobytes() for k in found], pa.binary())], ["node", "line"])
+                    pa.array([data[starts[k]:stops[k]].tobytes().decode("utf-32-le") for k in found], pa.string())],
+                    ["node", "line"])
 
-    return docs.select("text").filter("text is not null").mapInArrow(run, "node long, line binary").dropDuplicates(["node"])
+    return docs.select("text").filter("text is not null").mapInArrow(run, "node long, line string").dropDuplicates(["node"])
 
 
 def links(docs: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
@@ -324,7 +334,7 @@ def links(docs: DataFrame, scratch: Scratch, settings: Settings) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, line_no, class_doc_id, class_line_no, n_links, kept`` for every line of ``least`` bytes.
+    """``doc_id, line_no, class_doc_id, class_line_no, n_links, kept`` for every line of ``least`` characters.
 
     Lines are numbered from 0 within their text. Equal lines and lines that are
     linked, directly or by others, are one class, named by its first line in
@@ -357,7 +367,7 @@ def remove(docs: DataFrame, settings: Settings = LOST) -> DataFrame:
     """``docs`` without the lines that aren't kept, and without documents that have no text left.
 
     Short lines are within two edits of very many others, so of those below ``near``
-    bytes only equal ones are removed; if they are white space, they stay as empty lines do.
+    characters only equal ones are removed; if they are white space, they stay as empty lines do.
     All columns stay; ``n_chars``, if there, follows the text. Documents that
     have no line to lose are untouched. Rows that repeat an id, or have none, lose lines by
     their own texts. The work is linear in the lines of a text.
@@ -374,7 +384,7 @@ def remove(docs: DataFrame, settings: Settings = LOST) -> DataFrame:
             drop = set() if numbers is None else set(numbers.tolist())
             left.append(text and "\n".join(
                 line for i, line in enumerate(text.split("\n"))
-                if i not in drop or len(line.encode()) < settings.near and not line.strip()))
+                if i not in drop or len(line) < settings.near and not line.strip()))
         return pd.Series(left, dtype=object)
 
     # as nondeterministic it is worked out once, not in the filter as well

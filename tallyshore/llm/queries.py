@@ -124,9 +124,11 @@ with recursive places as (
   select doc_id, unnest(range(len(l))) line_no, unnest(l) line
   from (select doc_id, string_split(text, chr(10)) l from documents)),
 firsts as materialized (
-  select line, strlen(line) size, length(line) // 3 third, row_number() over (order by min(struct_pack(doc_id, line_no))) id,
+  select line, length(line) size, length(line) // 3 third, translate(line, 'ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü', array_to_string(
+           list_transform(list_concat(range(1, 9), range(14, 32)), lambda i: chr(i::int)), '')) flat, row_number() over (order by min(struct_pack(doc_id, line_no))) id,
          min(struct_pack(doc_id, line_no)) place
   from places where line <> '' group by line),
+-- levenshtein counts bytes: in flat, each character of the tables is one;
 -- two edits leave one of three parts as it is, so others need no distance
 parts3 as (
   select *, left(line, third) one, substr(line, third + 1, third) two, substr(line, 2 * third + 1) three from firsts),
@@ -134,7 +136,7 @@ links as materialized (
   select a.id a, b.id b from parts3 a, (values (-2), (-1), (0), (1), (2)) gaps(gap), firsts b
   where b.size = a.size + gap and a.id <> b.id
     and case when contains(b.line, one) or contains(b.line, two) or contains(b.line, three)
-             then levenshtein(a.line, b.line) <= 2 else false end),
+             then levenshtein(a.flat, b.flat) <= 2 else false end),
 reach as (
   select id, id root from firsts
   union select l.b, root from reach r join links l on l.a = r.id),

@@ -78,7 +78,10 @@ def test_minhash_odd_rows(odd, none):
     assert minhash.near_duplicates(none).collect() == []
 
 
-def test_minhash_finds_links_that_the_leader_lacks(spark):
+@pytest.mark.parametrize("sketches, texts_", [(minhash.SKETCH_BLOCK, minhash.REST_BLOCK), ((4, 8), (3, 5, 700))])
+def test_minhash_finds_links_that_the_leader_lacks(spark, monkeypatch, sketches, texts_):
+    monkeypatch.setattr(minhash, "SKETCH_BLOCK", sketches)
+    monkeypatch.setattr(minhash, "REST_BLOCK", texts_)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(120)]
     texts = []
@@ -159,7 +162,7 @@ def test_edit_distance_equals_definition():
 
     rng = random.Random(1)
     for _ in range(3000):
-        a, b = (bytes(rng.choice(b"abc") for _ in range(rng.randrange(10))) for _ in "ab")
+        a, b = ("".join(rng.choice("abé日") for _ in range(rng.randrange(10))) for _ in "ab")
         for most in range(4):
             assert lines.edit_distance(a, b, most) == min(plain(a, b), most + 1)
 
@@ -172,13 +175,13 @@ def test_lines_equal_brute_force(spark, settings):
     def changed(text):
         for _ in range(rng.randrange(5)):
             at, kind = rng.randrange(len(text)), rng.randrange(3)
-            text = text[:at] + (rng.choice("abxé") if kind else "") + text[at + (kind < 2):]
+            text = text[:at] + (rng.choice("abé日語🙂") if kind else "") + text[at + (kind < 2):]
         return text
 
     docs = [(i, "\n".join(changed(rng.choice(base)) for _ in range(rng.randint(0, 4)))) for i in range(120)]
-    seen = sorted((i, n, t) for i, text in docs for n, t in enumerate(text.split("\n")) if len(t.encode()) >= 24)
+    seen = sorted((i, n, t) for i, text in docs for n, t in enumerate(text.split("\n")) if len(t) >= 24)
     texts = sorted({t for *_, t in seen})
-    links = [(a, b) for a in texts for b in texts if a < b and lines.edit_distance(a.encode(), b.encode(), 2) <= 2]
+    links = [(a, b) for a in texts for b in texts if a < b and lines.edit_distance(a, b, 2) <= 2]
     roots, first = _roots(texts, links), {}
     for i, n, t in seen:
         first.setdefault(roots[t], (i, n))
@@ -195,12 +198,12 @@ def test_lines_equal_brute_force(spark, settings):
 @pytest.mark.parametrize("settings", [lines.ALL, lines.Settings(least=1, hot=3, block=4)])
 def test_short_lines_equal_brute_force(spark, settings):
     rng = random.Random(12)
-    docs = [(i, "\n".join("".join(rng.choice("abcdefghijé") for _ in range(rng.choice([0, 1, 2, 3, 4, 7, 8, 9, 12, 23, 24])))
+    docs = [(i, "\n".join("".join(rng.choice("abcdefghé日🙂") for _ in range(rng.choice([0, 1, 2, 3, 4, 7, 8, 9, 12, 23, 24])))
                           for _ in range(rng.randint(0, 4)))) for i in range(60)]
     docs += [(i + 60, f"{text[:-1]}x") for i, text in docs if len(text) > 5]
     seen = sorted((i, n, t) for i, text in docs for n, t in enumerate(text.split("\n")) if t)
     texts = sorted({t for *_, t in seen})
-    links = [(a, b) for a in texts for b in texts if a < b and lines.edit_distance(a.encode(), b.encode(), 2) <= 2]
+    links = [(a, b) for a in texts for b in texts if a < b and lines.edit_distance(a, b, 2) <= 2]
     roots, first = _roots(texts, links), {}
     for i, n, t in seen:
         first.setdefault(roots[t], (i, n))
@@ -356,6 +359,71 @@ def test_classifiers(spark, odd, none, module, column, least):
     assert {r.score for r in module.score(odd, blank).collect()} == {0.5}
 
 
+def test_toxicity_equals_brute_force(spark, monkeypatch):
+    """Grams, ratios and choice by plain counting, weights as of Newton steps on the whole matrix."""
+    monkeypatch.setattr(toxicity, "RIDGE", 0.02)
+    monkeypatch.setattr(toxicity, "STEPS", 4000)
+    rng, size = random.Random(8), 30
+    words = [["vile", "scum", "idiot", "fool"], ["green", "river", "stone", "Läufer"]]
+    texts = [" ".join(rng.choice(words[rng.random() < (0.35 if i % 3 == 0 else 0.75)]) for _ in range(rng.randint(0, 9)))
+             for i in range(90)] + [None, ""]
+    ids = [i for i in range(2000) if not _held_out(i)][:len(texts)]
+    label = np.array([int(i % 3 == 0) for i in range(len(texts))])
+
+    def cell(gram):
+        h = 0
+        for c in gram:
+            h = (h * 0x01000193 + ord(c)) % 2 ** 32
+        h = (h ^ h >> 15 ^ len(gram)) * 0x85EBCA6B % 2 ** 32
+        return ((h ^ h >> 13) * 0xC2B2AE35 % 2 ** 32) >> 32 - toxicity.BITS
+
+    padded = [f" {(t or '').lower()} " for t in texts]
+    grams = [{cell(t[i:i + n]) for n in toxicity.SIZES for i in range(len(t) - n + 1)} for t in padded]
+    assert [set(f.tolist()) for f in toxicity.ngrams([t or "" for t in texts])] == grams
+    seen = [Counter(g for own, y in zip(grams, label) if y == k for g in own) for k in (0, 1)]
+    share = [{g: (seen[k][g] + 1) / ((label == k).sum() + 2) for g in seen[0] | seen[1]} for k in (0, 1)]
+    ratio = {g: np.log(share[1][g] / share[0][g]) for g in share[0]}
+
+    def distance(g):
+        both = (seen[0][g] + seen[1][g] + 2) / (len(label) + 4)
+        return abs(share[1][g] - share[0][g]) / np.sqrt(both * (1 - both) + 1e-9)
+
+    chosen = sorted(ratio, key=lambda g: (-round(distance(g), 12), g))[:size]
+    matrix = np.array([[ratio[g] * (g in own) for g in chosen] + [1] for own in grams])
+    weigh = np.where(label == 1, 0.5 / label.mean(), 0.5 / (1 - label.mean())) / len(label)
+    ridge = 0.02 * np.diag([1] * size + [0])
+    best = np.zeros(size + 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-matrix @ best))
+        best -= np.linalg.solve((matrix.T * weigh * p * (1 - p)) @ matrix + ridge,
+                                matrix.T @ (weigh * (p - label)) + ridge @ best)
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(zip(ids, label.tolist())), "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, kept=size)
+    assert set(np.flatnonzero(model.weights)) <= set(chosen)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert np.allclose([got[i] for i in ids], 1 / (1 + np.exp(-matrix @ best)), atol=1e-4)
+
+
+def test_quality_risk_is_least_and_not_negative():
+    """The risk written out, whose slope is nothing where ``minimize`` ends, and no smaller anywhere near."""
+    rng, prior = np.random.default_rng(4), 0.4
+    positive = rng.normal(0.7, 1, (300, 3))
+    unlabelled = np.concatenate([rng.normal(0.7, 1, (400, 3)), rng.normal(-0.7, 1, (600, 3))])
+
+    def risk(weights):
+        def loss(x, sign):
+            return np.log1p(np.exp(-sign * (x @ weights[:-1] + weights[-1]))).mean()
+        rest = loss(unlabelled, -1) - prior * loss(positive, -1)
+        return prior * loss(positive, 1) + max(0, rest) + quality.RIDGE / 2 * (weights[:-1] ** 2).sum(), rest
+
+    best = np.append(*quality.minimize(positive, unlabelled, prior))
+    assert risk(best)[1] > 0
+    steps = [1e-4 * row for row in np.eye(len(best))]
+    assert max(abs(risk(best + d)[0] - risk(best - d)[0]) / 2e-4 for d in steps) < 5e-3
+    assert all(risk(best + rng.normal(0, 0.3, len(best)))[0] >= risk(best)[0] for _ in range(200))
+
+
 def test_quality_hardly_depends_on_few_unlabelled_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     ids = sorted(r[0] for r in docs.select("doc_id").collect())
