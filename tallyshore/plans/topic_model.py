@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer, SQLTransformer,
     StopWordsRemover, StringIndexer)
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyshore.operators import metrics
 from tallyshore.operators.ordered import number_rows, values_at_ranks
+from tallyshore.operators.softmax import MultinomialRegression
 from tallyshore.operators.split import TOPIC_SHARES, stratified_split, with_weights
 from tallyshore.session import shared_folder
 from tallyshore.sources.writers import write_parquet
@@ -123,11 +123,9 @@ class TopicTraining:
         return metrics.macro_f1(self.confusion)
 
 
-def topic_regression(rows: int, iterations: int = 1000) -> LogisticRegression:
+def topic_regression(rows: int, iterations: int = 1000) -> MultinomialRegression:
     """Multinomial regression whose penalty is 1/2 |w|^2 against the summed, balanced loss."""
-    return LogisticRegression(
-        family="multinomial", maxIter=iterations, regParam=1.0 / rows, standardization=False,
-        weightCol="weight", aggregationDepth=3)
+    return MultinomialRegression(1.0 / rows, iterations)
 
 
 def train_topics(

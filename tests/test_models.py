@@ -6,7 +6,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tallyshore.operators.split import with_weights
-from tallyshore.plans import churn_model
+from tallyshore.operators import softmax
+from tallyshore.plans import churn_model, topic_model
 
 
 def points(spark, n=400):
@@ -61,3 +62,42 @@ def test_boosting_stops_by_rows_it_does_not_learn_from(spark):
     assert large.getValidationIndicatorCol() == "held_back"
     estimator = churn_model.candidate_models(400, rounds=40, stop_early=True)["gradient_boosting"]
     assert estimator.fit(marked).getNumTrees < 40
+
+
+def topics(spark, n=1500, width=400, classes=3):
+    """Texts as unit vectors in which most terms are rare, in several classes."""
+    rng = np.random.default_rng(5)
+    x = (rng.random((n, width)) < 0.5 / np.arange(1, width + 1)) * rng.exponential(size=(n, width))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    y = (x @ rng.normal(scale=4, size=(width, classes)) + rng.gumbel(size=(n, classes))).argmax(axis=1)
+    rows = [(float(k), Vectors.sparse(width, np.flatnonzero(v), v[v != 0])) for k, v in zip(y, x)]
+    return x, y, with_weights(spark.createDataFrame(rows, ["label", "features"]), "label")
+
+
+def test_topic_regression_arrives_in_few_passes_however_rare_the_terms(spark, monkeypatch):
+    x, y, df = topics(spark)
+    passes, once = [], softmax.total
+    monkeypatch.setattr(softmax, "total", lambda *a: passes.append(0) or once(*a))
+    fitted = topic_model.topic_regression(len(y)).fit(df)
+    assert len(passes) < 150
+    beta, b = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    margins = x @ beta.T + b
+    guess = np.exp(margins - margins.max(axis=1, keepdims=True))
+    error = guess / guess.sum(axis=1, keepdims=True) - np.eye(3)[y]
+    error *= (len(y) / (3 * np.bincount(y)))[y][:, None]
+    assert np.abs(error.T @ x + beta).max() < 0.01 and np.abs(error.sum(axis=0)).max() < 0.01
+    assert not fitted.isSet(fitted.getParam("lowerBoundsOnCoefficients"))
+    first = fitted.transform(df.limit(1)).select("features", "probability").first()
+    own = first.features.toArray() @ beta.T + b
+    assert first.probability.toArray() == pytest.approx(np.exp(own) / np.exp(own).sum())
+
+
+def test_topic_regression_of_one_class_and_of_blocks_of_one_row(spark, monkeypatch):
+    x, y, df = topics(spark, 60, 20)
+    whole = topic_model.topic_regression(60).fit(df).coefficientMatrix.toArray()
+    assert len(list(softmax.blocks([(0, 1.0, Vectors.dense(row)) for row in x], 20))) == 1
+    monkeypatch.setattr(softmax, "ENTRIES", 1)
+    assert len(list(softmax.blocks([(0, 1.0, Vectors.dense(row)) for row in x], 20))) == 60
+    assert topic_model.topic_regression(60).fit(df).coefficientMatrix.toArray() == pytest.approx(whole, abs=1e-6)
+    assert {r.prediction for r in topic_model.topic_regression(60).fit(
+        df.filter("label = 2")).transform(df).select("prediction").collect()} == {2.0}
