@@ -31,7 +31,9 @@ TARGET, ID = "churned", "user_id"
 BASELINE = "always_churn_baseline"
 MISSING = "(missing)"
 SEED = 42
-ROWS_PER_PARTITION = 50_000
+# Rows of a task. Every task sends the statistics of all nodes, so that beyond
+# so many tasks each takes more rows first, and only then are there more of them.
+ROWS_PER_PARTITION, PARTITIONS, FULL_PARTITION = 10_000, 12, 100_000
 # Boosting keeps a tenth of more than so many rows back to see when to stop.
 EARLY_STOP_ROWS, HELD_BACK, LEAST_GAIN = 10_000, 0.1, 1e-7
 
@@ -143,12 +145,17 @@ def predict(model: PipelineModel | None, name: str, df: DataFrame) -> DataFrame:
                          "probability", "prediction")
 
 
+def partitions(rows: int) -> int:
+    """Tasks that training rows are laid out in: it follows from their number alone."""
+    return max(min(1 + rows // ROWS_PER_PARTITION, PARTITIONS), -(-rows // FULL_PARTITION))
+
+
 def laid_out(preprocessor: PipelineModel, train: DataFrame, rows: int) -> DataFrame:
     """Persisted training rows with weight, features and ``held_back``, in places that follow from their ids."""
     return (
         preprocessor.transform(with_weights(train, TARGET))
         .select(ID, TARGET, "weight", "features", in_sample("held-back", ID, HELD_BACK).alias("held_back"))
-        .repartition(1 + rows // ROWS_PER_PARTITION, ID).sortWithinPartitions(ID)
+        .repartition(partitions(rows), ID).sortWithinPartitions(ID)
         .persist(StorageLevel.MEMORY_AND_DISK))
 
 

@@ -101,3 +101,8 @@ def test_topic_regression_of_one_class_and_of_blocks_of_one_row(spark, monkeypat
     assert topic_model.topic_regression(60).fit(df).coefficientMatrix.toArray() == pytest.approx(whole, abs=1e-6)
     assert {r.prediction for r in topic_model.topic_regression(60).fit(
         df.filter("label = 2")).transform(df).select("prediction").collect()} == {2.0}
+
+
+def test_training_rows_spread_early_and_their_tasks_grow_before_there_are_more():
+    found = {n: churn_model.partitions(n) for n in (0, 9_999, 10_000, 109_548, 650_000, 1_200_000, 3_000_001)}
+    assert found == {0: 1, 9_999: 1, 10_000: 2, 109_548: 11, 650_000: 12, 1_200_000: 12, 3_000_001: 31}
