@@ -726,10 +726,17 @@ def training_supports(spark, d):
 
 @query
 def importance_names(spark, d):
-    """The features of the tree models: names in full, importances from 0 to 1 that add up to 1."""
-    weights = churn_run(spark, d).importances()
-    sums = weights.groupBy("model").agg((F.round(F.sum("importance"), 9) == 1).alias("whole"))
-    return weights.join(sums, "model").select(
+    """The features of the tree models: names in full, importances from 0 to 1 that add up to 1.
+
+    A model of bare leaves, as boosting leaves it on few rows, has none: they add up to 0.
+    """
+    run = churn_run(spark, d)
+    weights = run.importances()
+    trees = {name: run.models[name].stages[-1] for name in ("random_forest", "gradient_boosting")}
+    wanted = spark.createDataFrame(
+        [(name, float(model.totalNumNodes > model.getNumTrees)) for name, model in trees.items()], "model string, _wanted double")
+    sums = weights.groupBy("model").agg(F.round(F.sum("importance"), 9).alias("_sum")).join(wanted, "model")
+    return weights.join(sums, "model").withColumn("whole", F.col("_sum") == F.col("_wanted")).select(
         "model", "feature", F.col("importance").between(0, 1).alias("in_range"), "whole")
 
 
