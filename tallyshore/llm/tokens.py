@@ -23,11 +23,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tallyshore.llm.common import SLICE_BYTES, slices
+from tallyshore.llm.common import slices
 
 PIECES_KEPT, PAIRS_KEPT = 300_000, 500_000  # entries of a worker's caches; beyond them the oldest half goes
 NEVER = 1 << 60
-_RANK_BITS, RANK = 32, 256
+_RANK_BITS = 32
 # The common pattern, and its equal for texts of ASCII and Latin letters only, in the
 # standard library's faster terms.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -55,13 +55,19 @@ class Vocabulary:
         self.longest = max(map(len, ranks))
         self._edges: tuple[dict, dict] = {}, {}
         self._pairs: dict[int, bool] = {}
-        #: the tokens read from the end: by byte, and the rank under RANK where one is complete
-        self.endings: dict = {}
+        #: the tokens read from the end: the node behind a node and a byte, in one dict, as one
+        #: for each node takes three times the memory; and the rank of a node's token, or -1
+        self.endings: dict[int, int] = {}
+        self.ends = [-1]
         for token, rank in ranks.items():
-            node = self.endings
+            node = 0
             for byte in reversed(token):
-                node = node.setdefault(byte, {})
-            node[RANK] = rank
+                step = node << 8 | byte
+                node = self.endings.get(step, 0)
+                if not node:
+                    node = self.endings[step] = len(self.ends)
+                    self.ends.append(-1)
+            self.ends[node] = rank
 
     def merge(self, piece: bytes, down_to: int = 1) -> list[bytes]:
         """The definition: join the neighbors of lowest rank, first ones first, while any join is a token."""
@@ -127,16 +133,17 @@ class PrefixTable:
     def extend(self, size: int) -> None:
         """Works out the rows up to the prefix of ``size`` bytes, each from the tokens that can end it."""
         v, data, last = self.vocabulary, self.data, self.last
-        endings, pairs, fits = v.endings, v._pairs, v.fits
+        behind, ends, pairs, fits = v.endings.get, v.ends, v._pairs, v.fits
         for i in range(len(last), size + 1):
-            node, j, found = endings, i, []
+            node, j, found = 0, i, []
             while j:
-                node = node.get(data[j - 1])
+                node = behind(node << 8 | data[j - 1])
                 if node is None:
                     break
                 j -= 1
-                if RANK in node:
-                    found.append((j, node[RANK]))
+                rank = ends[node]
+                if rank >= 0:
+                    found.append((j, rank))
             for j, rank in reversed(found):  # the longest first
                 if j:
                     fit = pairs.get(last[j] << _RANK_BITS | rank)
@@ -247,6 +254,22 @@ def worker_kept(key: tuple, build):
     return kept[key]
 
 
+def encode_batches(batches: Iterator[pa.RecordBatch], encoder: Encoder, decode: bool) -> Iterator[pa.RecordBatch]:
+    """Ids, and their bytes if asked, in place of the last column, ``text``.
+
+    A step has 1 MB of text, as its pieces, a string each, take some thirty times that, which
+    a worker doesn't give back.
+    """
+    for batch in batches:
+        for part in slices(batch):
+            ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+            columns = part.columns[:-1] + [pa.array(ids, pa.list_(pa.int32()))]
+            if decode:
+                columns.append(pa.array([encoder.decode(i) for i in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(
+                columns, part.schema.names[:-1] + ["token_ids"] + ["decoded"] * decode)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, decode: bool = False,
                      keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Adds ``token_ids`` to the columns of ``keep``, and ``decoded``, the bytes of the ids, if asked.
@@ -268,13 +291,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, decode: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # caches of many small objects and no cycles: looking for some takes a third of the time
         encoder = worker_kept(("bpe", digest, pattern), lambda: Encoder(parse_ranks(sent.value), pattern))
-        for batch in batches:
-            for part in slices(batch, most=4 * SLICE_BYTES):
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                columns = part.columns[:-1] + [pa.array(ids, pa.list_(pa.int32()))]
-                if decode:
-                    columns.append(pa.array([encoder.decode(i) for i in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(
-                    columns, part.schema.names[:-1] + ["token_ids"] + ["decoded"] * decode)
+        return encode_batches(batches, encoder, decode)
 
     return kept.mapInArrow(run, schema)

@@ -3,18 +3,20 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 import tiktoken
 
 import corpus_pipeline
 from checks.parity import connect, difference
-from tallyshore.llm import embeddings, fingerprints, licenses, lines, minhash, mixture, quality, tokens, toxicity, urls
+from tallyshore.llm import common, embeddings, fingerprints, licenses, lines, minhash, mixture, quality, tokens, toxicity, urls
 from tallyshore.llm.queries import CATALOG, ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -453,6 +455,21 @@ def test_tokens_equal_tiktoken(encoder):
     assert [encoder.decode(i).decode() for i in ids] == texts
 
 
+def test_encoding_holds_little(encoder):
+    tracemalloc.start()
+    try:
+        vocabulary = tokens.Vocabulary(encoder.vocabulary.ranks)
+        assert tracemalloc.get_traced_memory()[0] < 24_000_000 and vocabulary.longest == 128
+    finally:
+        tracemalloc.stop()
+    texts = [f"{n} words and some more " * 5000 for n in range(40)] + [None, "", "x" * 3_000_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(43)), pa.array(texts)], ["doc_id", "text"])
+    parts = list(tokens.encode_batches(iter([batch]), encoder, decode=True))
+    assert all(p.num_rows == 1 or pc.sum(pc.binary_length(p["decoded"])).as_py() <= common.SLICE_BYTES for p in parts)
+    assert [x for p in parts for x in p["doc_id"].to_pylist()] == list(range(43))
+    assert [x.decode() for p in parts for x in p["decoded"].to_pylist()] == [t or "" for t in texts]
+
+
 def test_prefix_table_edits(encoder):
     rng = random.Random(9)
     table = tokens.PrefixTable(encoder.vocabulary, b"the quick brown fox " * 100)
