@@ -2,7 +2,8 @@
 
 ``STAGES`` lists the stages in order. Each takes (spark, docs, folder) and returns a
 DataFrame, which is written and read again as the next one's docs. All but the last
-keep the columns of ``documents``.
+keep the columns of ``documents``. Those with Python tasks bound Arrow's batches in bytes for
+the session, unless it does.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshore.llm import lines, minhash, mixture, quality, tokens
-from tallyshore.llm.common import Scratch, fresh, table, with_nodes
+from tallyshore.llm.common import Scratch, bound_batches, fresh, table, with_nodes
 
 QUALITY = 0.3
 #: A classifier, and near copies by MinHash, are beyond SQL.
@@ -21,6 +22,7 @@ ORACLE_SQL = None
 
 def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with a quality score of 0.3 or more."""
+    bound_batches(spark)
     model = quality.fit(docs, table(spark, folder, "labels"))
     score = fresh(docs, "__score")
     return quality.score(docs, model, keep=score).filter(F.col(score) >= QUALITY).drop(score)
@@ -28,6 +30,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without lines that an earlier one has, up to two edits; those without text left go."""
+    bound_batches(spark)
     return lines.remove(docs)
 
 
@@ -36,6 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
     Rows that repeat an id, or have none, are documents of their own, behind all others in that order.
     """
+    bound_batches(spark)
     node = fresh(docs, "__node")
     rows = with_nodes(docs, Scratch(spark, "near-copies"), node)
     copies = minhash.near_duplicates(rows.select(F.col(node).alias("doc_id"), "text")).filter("not kept").select(
@@ -50,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """``doc_id, source, n_tokens, token_ids, round_trip``: ids, and whether they decode to the text."""
+    bound_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = tokens.encode_documents(
         docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256)), path, public_tokenizers.PATTERN,

@@ -14,6 +14,7 @@ from tallyshore.session import shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLICE_BYTES = 1 << 20  # of text that a vectorized step works on at a time
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
@@ -43,6 +44,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds what goes to Python tasks at a time in bytes, for the session, unless that is set.
+
+    10,000 whole texts are tens of megabytes, of which an executor and its workers hold several copies a task.
+    """
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or that with as many underscores as it takes to be no column of ``df``."""
     taken = {c.lower() for c in df.columns}

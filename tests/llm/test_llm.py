@@ -489,6 +489,25 @@ def test_encode_odd_rows(odd, none):
     assert tokens.encode_documents(none, path, public_tokenizers.PATTERN).collect() == []
 
 
+def test_pipeline_bounds_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    rows = [(i, "a", f"{i} " + "plain words of a long text, told twice. " * 1000) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1)
+    spark.conf.unset(common.BATCH_KEY)
+    try:
+        corpus_pipeline.encode(spark, docs, FOLDER)
+        most = max(r.n for r in docs.mapInArrow(sizes, "n long").collect())
+        assert most < 2 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH_KEY, "1m")
+        corpus_pipeline.encode(spark, docs, FOLDER)
+        assert spark.conf.get(common.BATCH_KEY) == "1m"
+    finally:
+        spark.conf.unset(common.BATCH_KEY)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
