@@ -470,6 +470,56 @@ def test_encoding_holds_little(encoder):
     assert [x.decode() for p in parts for x in p["decoded"].to_pylist()] == [t or "" for t in texts]
 
 
+def test_short_pieces_are_encoded_side_by_side(encoder, monkeypatch):
+    one_by_one, extend = [], tokens.PrefixTable.extend
+
+    def counted(table, size):
+        one_by_one.append(size)
+        extend(table, size)
+
+    monkeypatch.setattr(tokens.PrefixTable, "extend", counted)
+    monkeypatch.setattr(tokens, "SIDE_BY_SIDE", 1000)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                              mergeable_ranks=encoder.vocabulary.ranks)
+    rng, syllables = random.Random(10), ["th", "an", "er", "schlo", "s", "ß", "é", "ing", "中文", "Q", "zzz"]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randrange(1, 10))) for _ in range(50)) for _ in range(200)]
+    texts += ["\0", "!\0\0", "\0" * 9 + "#", "q" * 64, "#" * 63 + "\0", "", "1234567890" * 6]
+    assert encoder.encode(texts) == [plain.encode_ordinary(t) for t in texts]
+    assert len(encoder._numbers) > 5000 and sum(one_by_one) < 200
+    ids, at = encoder.encode_rows(texts)
+    assert [x.decode() for x in encoder.decode_rows(ids, at).to_pylist()] == texts
+    longer = ["é" * 32 + "x", "k" * 65]
+    assert encoder.encode(longer) == [plain.encode_ordinary(t) for t in longer] and 65 in one_by_one
+
+
+def test_encoder_of_ranks_with_gaps():
+    ranks = {bytes([i]): i for i in range(256)}
+    ranks |= {b"ab": 300, b"bc": 310, b"aa": 311, b"abc": 320, b"xyz": 330, b"aab": 331, b"cab": 340, b"abab": 350}
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcxyz", k=rng.randrange(1, 20))) for _ in range(3000)] + [""]
+    for made in (ranks, ranks | {b"cc": 361, b"ccc": 360}):  # then with a join of lower rank than its part
+        encoder = tokens.Encoder(made, r"\w+")
+        assert encoder._short.ordered == (made is ranks)
+        whole = [[made[t.encode()]] if t.encode() in made else [made[x] for x in encoder.vocabulary.merge(t.encode())]
+                 for t in texts]
+        ids, at = encoder.encode_rows(texts)
+        if made is ranks:
+            assert encoder.encode(texts) == whole
+        assert [x.decode() for x in encoder.decode_rows(ids, at).to_pylist()] == texts
+
+
+def test_bpe_encoder_forgets_and_learns_again(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES_KEPT", 40)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = tokens.parse_ranks(file.read())
+    encoder = tokens.Encoder(ranks, public_tokenizers.PATTERN)
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=ranks)
+    for i in range(30):
+        texts = [f"anwhtin{i % 7}ko thenre{chr(97 + i % 9)}ouqx {i * j} of" for j in range(8)]
+        assert encoder.encode(texts) == [plain.encode_ordinary(t) for t in texts]
+        assert len(encoder._numbers) <= 40 + 60
+
+
 def test_prefix_table_edits(encoder):
     rng = random.Random(9)
     table = tokens.PrefixTable(encoder.vocabulary, b"the quick brown fox " * 100)
