@@ -492,6 +492,13 @@ def test_short_pieces_are_encoded_side_by_side(encoder, monkeypatch):
     assert encoder.encode(longer) == [plain.encode_ordinary(t) for t in longer] and 65 in one_by_one
 
 
+def test_latin_texts_are_split_by_the_common_pattern(encoder):
+    latin = [c for c in map(chr, range(0x250)) if not tokens._BEYOND_LATIN(c)]
+    rng, some = random.Random(12), "'stmdrevl \n\t\r_-!é1Z9ßĀ[`{~@/"
+    texts = [a + b for a in latin for b in some] + ["".join(rng.choices(some, k=12)) for _ in range(20000)]
+    assert len(latin) > 450 and [encoder.split(t) for t in texts] == [encoder._any(t) for t in texts]
+
+
 def test_encoder_of_ranks_with_gaps():
     ranks = {bytes([i]): i for i in range(256)}
     ranks |= {b"ab": 300, b"bc": 310, b"aa": 311, b"abc": 320, b"xyz": 330, b"aab": 331, b"cab": 340, b"abab": 350}
