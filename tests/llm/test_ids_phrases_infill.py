@@ -1,8 +1,10 @@
 """Token files, collocations and fill-in-the-middle against brute force."""
 
 import hashlib
+import json
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -11,6 +13,7 @@ import pyarrow as pa
 import pyarrow.orc
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from tallyshore.llm import binary, collocations, infill
@@ -107,6 +110,51 @@ def test_pieces_equal_whole_texts():
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pieces_are_cut_by_the_pattern():
+    """Latin pieces in arrays as by the pattern itself, also where texts meet; others as a whole, without their neighbors."""
+    encoder = binary.PieceEncoder(open(WORDS, encoding="utf-8").read())
+    rng = random.Random(5)
+    letters = list("abSTrevelLmd") * 3 + list("'" * 4 + "?.59 \n\x0b") * 3 + ["é", "Ø", "Ⱥ", "ŉ"]
+    texts = ["it'", "s", "'", "", "'r", "e", "''s", "5'S't", "'LLs'", "'lx"]
+    texts += ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(2_000)]
+    pieces, first = encoder._split(pa.array(texts))
+    got = [p.lower() for p in pieces.to_pylist()]
+    assert [got[a:b] for a, b in zip(first[:-1], first[1:])] == [regex.findall(binary._PATTERN, t.lower()) for t in texts]
+    pieces, first = encoder._split(pa.array(["Der Hund’s it's", None, "a ×\x01b, c.", "x<|endoftext|> y."]))
+    assert pieces.to_pylist() == ["der", "Hund’s", "it", "'s", "a", "×\x01b,", "c", ".", "x<|endoftext|>", "y."]
+    assert first.tolist() == [0, 4, 4, 8, 10]
+
+
+def test_words_that_the_vocabulary_cannot_spell():
+    parts = json.load(open(WORDS, encoding="utf-8"))
+    vocabulary, merges = parts["model"]["vocab"], parts["model"]["merges"]
+    parts["model"]["vocab"] = {token: i for token, i in vocabulary.items() if "z" not in token}
+    parts["model"]["merges"] = [m for m in merges if "z" not in "".join(m)]
+    definition = json.dumps(parts)
+    tokenizer, texts = Tokenizer.from_str(definition), ["Fizz and zoo, it's", "zz", "words of others"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in binary.PieceEncoder(definition).encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_known_pieces_cost_less_than_strings():
+    """Texts of known words take less time than only splitting them and looking up each piece as a string."""
+    encoder = binary.PieceEncoder(open(WORDS, encoding="utf-8").read())
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(2_000)]
+    texts = [" ".join(rng.choices(words, k=2_000)) + "." for _ in range(200)]
+    known = {word: encoder.encode([word])[0] for word in [*words, "."]}
+    split, ours, plain = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[!-/:-@\[-`{-~]+").findall, [], []
+    for _ in range(4):
+        start = time.process_time()
+        got = encoder.encode(texts)
+        ours.append(time.process_time() - start)
+        start = time.process_time()
+        want = [b"".join(map(known.__getitem__, split(text))) for text in texts]
+        plain.append(time.process_time() - start)
+        assert got == want
+    assert min(ours) < min(plain)
+
+
 def _mined(rows, settings):
     """Collocations by the definition, on (text, lang) rows."""
     counts = Counter()
