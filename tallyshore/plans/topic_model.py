@@ -6,16 +6,18 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, IndexToString, Normalizer, SQLTransformer,
     StopWordsRemover, StringIndexer)
 from pyspark.ml.linalg import Vectors
+from pyspark.serializers import CPickleSerializer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyshore.operators import metrics
+from tallyshore.operators.occurrences import occurrences, small_batches
 from tallyshore.operators.ordered import number_rows, values_at_ranks
 from tallyshore.operators.softmax import MultinomialRegression
 from tallyshore.operators.split import TOPIC_SHARES, stratified_split, with_weights
@@ -54,21 +56,15 @@ def term_stages(text: str = "narrative", stop_words: Sequence[str] | None = None
 def vocabulary(terms: DataFrame, max_terms: int = MAX_TERMS, min_docs: int = MIN_DOCS) -> DataFrame:
     """term, total, docs: the most frequent terms, ties by term.
 
-    One pass counts occurrences and documents together; both are merged on the
+    One pass counts occurrences and documents together, in arrays; both are merged on the
     map side, so a very common term costs no more than others. The counts are written once. The least
     total that gets in is found by rank, and among the terms that have it, they are
     numbered in ranges: no task sorts, or holds, the terms of all the others.
     """
-    # an occurrence adds to the total; the first one in a text adds to the texts as well
-    cells = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(False).alias("first"))),
-        F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(True).alias("first"))))
-    counted = (
-        terms.select(F.inline(cells)).groupBy("term")
-        .agg(F.count_if(~F.col("first")).alias("total"), F.count_if("first").alias("docs"))
-        .filter(F.col("docs") >= min_docs))
     spark = terms.sparkSession
-    counted = write_parquet(counted, f"{shared_folder(spark)}/terms-{uuid.uuid4().hex}")
+    path = f"{shared_folder(spark)}/terms-{uuid.uuid4().hex}"
+    with small_batches(spark):
+        counted = write_parquet(occurrences(terms, "terms", "term", "docs").filter(F.col("docs") >= min_docs), path)
     found = {}
 
     def last(count: int) -> list[int]:
@@ -89,6 +85,16 @@ def with_idf(vocabulary: DataFrame, texts: int) -> DataFrame:
     return vocabulary.withColumn("idf", F.log(F.lit(1.0 + texts) / (1 + F.col("docs"))) + 1)
 
 
+def term_counter(terms: list[str]) -> CountVectorizerModel:
+    """Counts of ``terms``, as by ``CountVectorizerModel.from_vocabulary``, which sends them to the JVM one by one."""
+    context = SparkContext._active_spark_context
+    listed = context._jvm.org.apache.spark.ml.python.MLSerDe.loads(bytearray(CPickleSerializer().dumps(terms)))
+    array = context._jvm.org.apache.commons.lang3.ArrayUtils.toStringArray(listed.toArray())
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", array)
+    model._set(vocabSize=len(terms))
+    return model.setInputCol("terms").setOutputCol("counts")
+
+
 def fit_tfidf(texts: DataFrame, stages: PipelineModel, max_terms: int = MAX_TERMS,
               min_docs: int = MIN_DOCS) -> PipelineModel:
     """Text to ``features``, a sparse unit vector. Runs two passes over the texts.
@@ -103,7 +109,7 @@ def fit_tfidf(texts: DataFrame, stages: PipelineModel, max_terms: int = MAX_TERM
     rows = {"term": rows["term"].tolist(), "idf": rows["idf"].tolist()}
     return PipelineModel(stages=[
         *stages.stages,
-        CountVectorizerModel.from_vocabulary(rows["term"], inputCol="terms", outputCol="counts"),
+        term_counter(rows["term"]),
         ElementwiseProduct(scalingVec=Vectors.dense(rows["idf"]), inputCol="counts",
                            outputCol="weighted"),
         Normalizer(p=2.0, inputCol="weighted", outputCol="features"),

@@ -92,6 +92,53 @@ def test_topic_regression_arrives_in_few_passes_however_rare_the_terms(spark, mo
     assert first.probability.toArray() == pytest.approx(np.exp(own) / np.exp(own).sum())
 
 
+def test_topic_regression_scales_anew_where_labels_are_clear_and_loses_little_where_they_are_not(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    y, chance = np.arange(1500) % 3, np.tile(0.5 / np.arange(1, 401), (1500, 1))
+    chance[:, :60] = np.where(np.arange(60) % 3 == y[:, None], 0.5, 0.02)  # words that each class has for itself
+    x = (rng.random((1500, 400)) < chance) * rng.exponential(size=(1500, 400))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    rows = [(float(k), 1.0, Vectors.sparse(400, np.flatnonzero(v), v[v != 0])) for k, v in zip(y, x)]
+    clear = spark.createDataFrame(rows, ["label", "weight", "features"])
+    seen, once, anew = [], softmax.total, softmax.SCALED_ANEW
+    monkeypatch.setattr(softmax, "total", lambda *a: seen.append(0) or once(*a))
+
+    def passes(df, penalty, size):
+        monkeypatch.setattr(softmax, "SCALED_ANEW", size)
+        seen.clear()
+        found = softmax.MultinomialRegression(penalty).search(df)
+        assert found.sum(axis=0) == pytest.approx(0, abs=1e-6 * np.abs(found).max())
+        return len(seen), found
+
+    (some, found), (many, same) = passes(clear, 1 / 150_000, anew), passes(clear, 1 / 150_000, 0.0)
+    assert some < 50 < many and found == pytest.approx(same, abs=0.01 * np.abs(same).max())
+    noisy = topics(spark)[2]
+    assert passes(noisy, 1 / 1500, anew)[0] < 1.3 * passes(noisy, 1 / 1500, 0.0)[0]
+
+
+def test_loss_and_curvature_of_a_block_against_their_formulas():
+    rng = np.random.default_rng(3)
+    n, width, classes = 50, 6, 3
+    x = np.where(rng.random((n, width)) < 0.4, rng.normal(size=(n, width)), 0)
+    y, w = rng.integers(classes, size=n), rng.random(n)
+    (block,) = softmax.blocks([(k, v, Vectors.dense(row)) for k, v, row in zip(y, w, x)], width)
+    c = rng.normal(size=(classes, width + 1))
+    whole = np.column_stack([x, np.ones(n)])
+    p = np.exp(whole @ c.T)
+    p /= p.sum(axis=1, keepdims=True)
+    value, slope = softmax.loss(block, c[:-1] - c[-1])
+    assert value == pytest.approx(-(w * np.log(p[np.arange(n), y])).sum())
+    assert slope == pytest.approx((((p - np.eye(classes)[y]) * w[:, None]).T @ whole)[:-1])
+    (found,) = softmax.curvature(block, c[:-1] - c[-1])
+    assert found == pytest.approx((p * (1 - p) * w[:, None]).T @ whole ** 2)
+    far = softmax.curvature(block, 1e4 * (c[:-1] - c[-1]))[0]  # no row in doubt
+    assert np.isfinite(far).all() and (far >= 0).all()
+
+
+def test_tasks_of_a_pass_are_more_of_them_at_first_then_larger_ones():
+    assert [softmax.tasks(n) for n in (0, 4_999, 5_000, 34_826, 217_000, 480_000, 2_600_000)] == [1, 1, 2, 7, 24, 25, 131]
+
+
 def test_topic_regression_of_one_class_and_of_blocks_of_one_row(spark, monkeypatch):
     x, y, df = topics(spark, 60, 20)
     whole = topic_model.topic_regression(60).fit(df).coefficientMatrix.toArray()

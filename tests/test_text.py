@@ -4,12 +4,14 @@ import datetime as dt
 import math
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from tallyshore.functions.columns import age_group, iso_date, squeeze_text
-from tallyshore.operators import text
+from tallyshore.operators import occurrences, text
 from tallyshore.plans import topic_model
 
 SCHEMA = ("complaint_id long, date_received date, product string, state string, narrative string")
@@ -108,6 +110,40 @@ def brute_tfidf(texts, stop, min_docs, max_terms):
     return kept, out
 
 
+def test_terms_are_counted_in_arrays_in_any_steps(spark, monkeypatch):
+    lists = [["b", "a", "b"], None, [], ["a", None, None], ["c c"], ["a"] * 40] * 3
+    df = spark.createDataFrame([(x,) for x in lists], "terms array<string>").repartition(2)
+    want = {(t, sum((x or []).count(t) for x in lists), sum(t in (x or []) for x in lists)) for t in ("a", "b", "c c", None)}
+    for step in (1, 16 << 20):
+        monkeypatch.setattr(occurrences, "STEP_BYTES", step)
+        assert {tuple(r) for r in occurrences.occurrences(df, "terms", "term", "docs").collect()} == want
+    assert occurrences.occurrences(df.filter("terms is null"), "terms", "term").collect() == []
+    values, total, rows = occurrences.count_lists([pa.array([["b", "a", "b"], ["a"]]), pa.array([None, ["b"]], pa.list_(pa.string()))])
+    assert values.to_pylist() == ["b", "a"] and total.tolist() == [3, 2] and rows.tolist() == [2, 2]
+
+
+def test_only_different_terms_of_a_step_leave_its_task_and_the_batch_size_is_put_back(spark):
+    terms = spark.createDataFrame([(["fee", "late"] * 500,)] * 20, "terms array<string>").coalesce(1)
+    batches = [pa.RecordBatch.from_pydict({"terms": [["fee", "late"] * 500] * 10})] * 2
+    assert [b.num_rows for b in occurrences.counted(batches, "term", 1 << 20)] == [2]
+    found = {tuple(r) for r in topic_model.vocabulary(terms, 10, 5).collect()}
+    assert found == {("fee", 10_000, 20), ("late", 10_000, 20)}
+    assert spark.conf.get(occurrences.BATCH_KEY, None) is None
+    spark.conf.set(occurrences.BATCH_KEY, "1000")
+    with occurrences.small_batches(spark):
+        assert spark.conf.get(occurrences.BATCH_KEY) == "1000"
+    assert spark.conf.get(occurrences.BATCH_KEY) == "1000"
+    spark.conf.unset(occurrences.BATCH_KEY)
+
+
+def test_the_vocabulary_goes_to_the_jvm_whole_and_in_order(spark):
+    terms = ["fee", "späte fee", "a\nb", "x"]
+    model = topic_model.term_counter(terms)
+    made = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="counts")
+    assert model.vocabulary == terms and model.getVocabSize() == 4
+    assert {p.name: v for p, v in model.extractParamMap().items()} == {p.name: v for p, v in made.extractParamMap().items()}
+
+
 def test_tfidf_matches_brute_force(spark):
     texts = ["The café charged a late fee, a LATE fee!", "Über late fee and café_2 fee",
              "late café x y z", "nothing shared here", "", "fee fee fee late café"]
