@@ -29,7 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # coefficients are scaled anew and at which the search has arrived.
 ENTRIES, ROWS = 1 << 19, 1 << 14
 ROWS_PER_TASK, FEW_TASKS, MOST_ROWS_PER_TASK = 5_000, 24, 20_000
-MEMORY, SCALED_ANEW, ARRIVED = 20, 0.1, 1e-5
+MEMORY, SCALED_ANEW, ARRIVED = 10, 0.1, 1e-5
 # no curvature counts as less than this share of that at the start
 FLAT = 1e-6
 

@@ -126,14 +126,20 @@ def test_only_different_terms_of_a_step_leave_its_task_and_the_batch_size_is_put
     terms = spark.createDataFrame([(["fee", "late"] * 500,)] * 20, "terms array<string>").coalesce(1)
     batches = [pa.RecordBatch.from_pydict({"terms": [["fee", "late"] * 500] * 10})] * 2
     assert [b.num_rows for b in occurrences.counted(batches, "term", 1 << 20)] == [2]
-    found = {tuple(r) for r in topic_model.vocabulary(terms, 10, 5).collect()}
-    assert found == {("fee", 10_000, 20), ("late", 10_000, 20)}
-    assert spark.conf.get(occurrences.BATCH_KEY, None) is None
-    spark.conf.set(occurrences.BATCH_KEY, "1000")
-    with occurrences.small_batches(spark):
+    held = spark.conf.get(occurrences.BATCH_KEY, None)  # other tests may have set it
+    try:
+        spark.conf.unset(occurrences.BATCH_KEY)
+        found = {tuple(r) for r in topic_model.vocabulary(terms, 10, 5).collect()}
+        assert found == {("fee", 10_000, 20), ("late", 10_000, 20)}
+        assert spark.conf.get(occurrences.BATCH_KEY, None) is None
+        spark.conf.set(occurrences.BATCH_KEY, "1000")
+        with occurrences.small_batches(spark):
+            assert spark.conf.get(occurrences.BATCH_KEY) == "1000"
         assert spark.conf.get(occurrences.BATCH_KEY) == "1000"
-    assert spark.conf.get(occurrences.BATCH_KEY) == "1000"
-    spark.conf.unset(occurrences.BATCH_KEY)
+    finally:
+        spark.conf.unset(occurrences.BATCH_KEY)
+        if held is not None:
+            spark.conf.set(occurrences.BATCH_KEY, held)
 
 
 def test_the_vocabulary_goes_to_the_jvm_whole_and_in_order(spark):
